@@ -38,10 +38,10 @@ def list_at(v: str | Column, path: str) -> Column:
     return F.try_variant_get(_col(v), path, "array<variant>")
 
 
-def holds_non_list(v: str | Column, path: str) -> Column:
-    """Something other than null or an array stands at the path."""
+def holds_other(v: str | Column, path: str) -> Column:
+    """Something stands at the path and is not JSON null."""
     node = F.try_variant_get(_col(v), path, "variant")
-    return node.isNotNull() & ~F.is_variant_null(node) & list_at(v, path).isNull()
+    return node.isNotNull() & ~F.is_variant_null(node)
 
 
 def is_object(v: str | Column) -> Column:

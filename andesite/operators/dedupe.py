@@ -4,39 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import MapType, VariantType
-
-_RANK = "_rank"
-
-
-def _orderable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def dedupe(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] | None = (),
+    last: bool = False,
+    where: Column | None = None,
 ) -> DataFrame:
-    """One row per key: the first in ``order_by``, then in the order of all other columns.
+    """One row per key: the first (or ``last``) in ``order_by``, then in all other columns.
 
-    The full order makes the survivor independent of input order and partitioning.
-    ``order_by=None`` keeps any one row instead.
+    The full order makes the survivor independent of input order and partitioning; nulls come
+    first.  ``order_by=None`` keeps any one row instead.  Only rows that satisfy ``where`` can
+    survive.  It is tested inside the aggregation, on columns already computed; a filter before
+    it would be pushed down and have Spark compute expensive columns a second time.
 
-    A rank filter of 1 lets Spark cut every key to one row inside each task *before* the
-    shuffle (``WindowGroupLimit``), so a key that holds a third of all rows sends at most one
-    row per task to its reducer.
+    The choice is an aggregation, so every task cuts a key to one row *before* the shuffle and
+    a key that holds a third of all rows sends at most one row per task to its reducer.
     """
     if order_by is None:
-        return df.dropDuplicates(list(keys))
-    named = {c for c in order_by if isinstance(c, str)}
-    rest = [c for c in _orderable(df) if c not in named and c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order_by, *rest)
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+        rows = df if where is None else df.filter(where)
+        return rows.dropDuplicates(list(keys))
+    lead = [c for c in order_by if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in lead]
+    if not lead + rest:
+        rows = df if where is None else df.filter(where)
+        return rows.distinct()
+    row = F.struct(*lead, *rest)
+    if where is not None:
+        row = F.when(where, row)
+    pick = F.max if last else F.min
+    single = df.groupBy(*keys).agg(pick(row).alias("_row"))
+    if where is not None:
+        single = single.filter(F.col("_row").isNotNull())
+    return single.select(
+        *[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
+    )
 
 
 def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the last in ``order_by``."""
-    return dedupe(df, keys, [F.col(c).desc_nulls_last() for c in order_by])
+    return dedupe(df, keys, order_by, last=True)
 
 
 def upsert(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -70,7 +72,7 @@ def drop_placeholders(df: DataFrame, c: str) -> DataFrame:
 
 def require(df: DataFrame, *cols: str) -> DataFrame:
     """Drop rows with a null in any of the columns."""
-    return df.dropna(subset=list(cols))
+    return df.filter(reduce(and_, [F.col(c).isNotNull() for c in cols]))
 
 
 def positive(df: DataFrame, c: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from andesite import registry as R
 from andesite.functions.calendar import month_start, period_month, period_year, year_start
@@ -39,9 +39,7 @@ def _conformed(df: DataFrame, candidates: dict, source: str) -> DataFrame:
     return conform_indicators(df, resolve_columns(df, candidates), source)
 
 
-def clean_series(
-    df: DataFrame, order_by: Sequence[str | Column] = ("period", "value")
-) -> DataFrame:
+def clean_series(df: DataFrame, order_by: Sequence[str] = ("period", "value")) -> DataFrame:
     """Period series to one numeric value per (indicator, month).
 
     Daily labels fall on the first of their month; ``order_by`` picks the value that stays.
@@ -57,12 +55,12 @@ def clean_series(
         }
     )
     dated = read.withColumn("date", month_start("year", "month"))
-    usable = require(dated, "value_numeric", "date")
-    return select_common(dedupe(usable, ["indicator_id", "date"], order_by))
+    usable = F.col("value_numeric").isNotNull() & F.col("date").isNotNull()
+    return select_common(dedupe(dated, ["indicator_id", "date"], order_by, where=usable))
 
 
 def clean_annual(
-    df: DataFrame, order_by: Sequence[str | Column] = ("period", "value_numeric")
+    df: DataFrame, order_by: Sequence[str] = ("period", "value_numeric")
 ) -> DataFrame:
     """Annual indicators to one numeric value per (indicator, January 1)."""
     if not df.columns:
@@ -75,8 +73,8 @@ def clean_annual(
         }
     )
     dated = read.withColumn("date", year_start("year"))
-    usable = require(dated, "value_numeric", "year")
-    return select_common(dedupe(usable, ["indicator_id", "date"], order_by))
+    usable = F.col("value_numeric").isNotNull() & F.col("year").isNotNull()
+    return select_common(dedupe(dated, ["indicator_id", "date"], order_by, where=usable))
 
 
 def unify_indicators(
@@ -88,7 +86,7 @@ def unify_indicators(
 
 def clean_trade(
     df: DataFrame,
-    order_by: Sequence[str | Column] = ("trade_value", "net_weight"),
+    order_by: Sequence[str] = ("trade_value", "net_weight"),
     run_ts: str | dt.datetime | None = None,
 ) -> DataFrame:
     """Trade documents to one positive value per (partner, flow, year, product)."""

@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from andesite.functions.semistructured import (
     field,
-    holds_non_list,
+    holds_other,
     is_object,
     list_at,
     number_or_zero,
 )
 
 MALFORMED = "malformed json"
+NOT_AN_OBJECT = "row is not an object"
 ERROR_COLUMNS = ("_error", "_rejected_text")
 
 
@@ -56,34 +57,42 @@ def load_response_files(
     return responses_from(files, "value", keys)
 
 
-def _explode_items(raw: DataFrame, keys: list[str], items: Column, error: Column) -> DataFrame:
-    """One row per element of ``items``, or a single row that carries ``error``."""
-    bad = F.when(F.col("payload").isNull(), F.lit(MALFORMED)).otherwise(error)
-    return (
-        raw.select(
-            *keys,
-            bad.alias("_error"),
-            F.when(bad.isNotNull(), F.col("text")).alias("_rejected_text"),
-            F.explode_outer(F.when(bad.isNull(), items)).alias("item"),
-        )
-        .filter(F.col("item").isNotNull() | F.col("_error").isNotNull())
-    )
-
-
 def _keys(raw: DataFrame) -> list[str]:
     return [c for c in raw.columns if c not in ("text", "payload")]
 
 
+def _explode_items(
+    raw: DataFrame, keys: list[str], path: str, wrong: str, top: Column | None = None
+) -> DataFrame:
+    """One row per element of the list at ``path``, or a single row that carries an error.
+
+    ``top`` is a further error of the whole response.  Lists and errors are computed before
+    they are exploded, in steps of their own: written in one step, they would be computed again
+    for every element.
+    """
+    located = raw.select(*keys, "text", "payload", list_at("payload", path).alias("_items"))
+    error = F.when(F.col("payload").isNull(), F.lit(MALFORMED))
+    if top is not None:
+        error = error.when(F.col("_items").isNull() & top.isNotNull(), top)
+    error = error.when(
+        F.col("_items").isNull() & holds_other("payload", path), F.lit(f"{wrong} is not a list")
+    )
+    judged = located.select(*keys, "text", "_items", error.alias("_error"))
+    texts = judged.select(
+        *keys, "_items", "_error", F.when(F.col("_error").isNotNull(), F.col("text")).alias("_rejected_text")
+    )
+    return texts.select(*keys, *ERROR_COLUMNS, F.explode_outer("_items").alias("item")).filter(
+        F.col("item").isNotNull() | F.col("_error").isNotNull()
+    )
+
+
 def _reject(df: DataFrame, reason: Column) -> DataFrame:
     """Fill the error columns of the rows for which ``reason`` is not null."""
-    return df.withColumns(
-        {
-            "_rejected_text": F.coalesce(
-                "_rejected_text", F.when(reason.isNotNull(), F.to_json("item"))
-            ),
-            "_error": F.coalesce("_error", reason),
-        }
-    )
+    judged = df.withColumn("_reason", reason)
+    text = F.coalesce("_rejected_text", F.when(F.col("_reason").isNotNull(), F.to_json("item")))
+    return judged.withColumns(
+        {"_rejected_text": text, "_error": F.coalesce("_error", "_reason")}
+    ).drop("_reason")
 
 
 def parse_period_series(raw: DataFrame) -> DataFrame:
@@ -93,56 +102,42 @@ def parse_period_series(raw: DataFrame) -> DataFrame:
     ``value`` field or a bare scalar.  ``raw_response`` is the period as JSON text.
     """
     keys = _keys(raw)
-    periods = _explode_items(
-        raw,
-        keys,
-        list_at("payload", "$.periods"),
-        F.when(holds_non_list("payload", "$.periods"), F.lit("periods is not a list")),
+    periods = _explode_items(raw, keys, "$.periods", "periods")
+    named = periods.withColumns(
+        {"period": field("item", "$.name"), "_values": list_at("item", "$.values")}
     )
-    unnamed = F.when(
-        F.col("item").isNotNull() & field("item", "$.name").isNull(), F.lit("period without name")
-    ).when(holds_non_list("item", "$.values"), F.lit("values is not a list"))
-    values = (
-        _reject(periods, unnamed)
-        .select(
-            *keys,
-            field("item", "$.name").alias("period"),
-            F.when(F.col("_error").isNull(), F.to_json("item")).alias("raw_response"),
-            *ERROR_COLUMNS,
-            F.explode_outer(
-                F.when(F.col("_error").isNull(), list_at("item", "$.values"))
-            ).alias("element"),
-        )
-        .filter(F.col("element").isNotNull() | F.col("_error").isNotNull())
-    )
-    scalar = F.when(~is_object("element"), field("element", "$"))
-    return values.select(
+    unread = F.when(
+        F.col("item").isNotNull() & F.col("period").isNull(), F.lit("period without name")
+    ).when(F.col("_values").isNull() & holds_other("item", "$.values"), F.lit("values is not a list"))
+    judged = _reject(named, unread)
+    values = judged.select(
         *keys,
         "period",
-        F.coalesce(field("element", "$.value"), scalar).alias("value"),
-        "raw_response",
+        F.to_json("item").alias("raw_response"),
         *ERROR_COLUMNS,
+        F.when(F.col("_error").isNull(), F.col("_values")).alias("_values"),
+    )
+    elements = values.select(
+        *keys, "period", "raw_response", *ERROR_COLUMNS, F.explode_outer("_values").alias("element")
+    ).filter(F.col("element").isNotNull() | F.col("_error").isNotNull())
+    text = field("element", "$.value")
+    scalar = F.when(text.isNull() & ~is_object("element"), field("element", "$"))
+    return elements.select(
+        *keys, "period", F.coalesce(text, scalar).alias("value"), "raw_response", *ERROR_COLUMNS
     )
 
 
 def parse_meta_rows(raw: DataFrame) -> DataFrame:
     """Flatten ``[metadata, rows]`` to (keys, item); an empty or null second element has no rows."""
     keys = _keys(raw)
-    rows = _explode_items(
-        raw,
-        keys,
-        list_at("payload", "$[1]"),
-        F.when(list_at("payload", "$").isNull(), F.lit("response is not a list")).when(
-            holds_non_list("payload", "$[1]"), F.lit("second element is not a list")
-        ),
-    )
-    undated = F.when(
-        F.col("item").isNotNull() & ~is_object("item"), F.lit("row is not an object")
-    ).when(
-        field("item", "$.value").isNotNull() & field("item", "$.date").isNull(),
-        F.lit("row without date"),
-    )
-    return _reject(rows, undated).select(*keys, "item", *ERROR_COLUMNS)
+    whole = F.when(list_at("payload", "$").isNull(), F.lit("response is not a list"))
+    rows = _explode_items(raw, keys, "$[1]", "second element", whole)
+    date, value = field("item", "$.date"), field("item", "$.value")
+    unread = F.when(
+        F.col("item").isNotNull() & value.isNull() & date.isNull() & ~is_object("item"),
+        F.lit(NOT_AN_OBJECT),
+    ).when(value.isNotNull() & date.isNull(), F.lit("row without date"))
+    return _reject(rows, unread).select(*keys, "item", *ERROR_COLUMNS)
 
 
 def parse_data_rows(raw: DataFrame, numbers: Sequence[str] = ()) -> DataFrame:
@@ -151,21 +146,16 @@ def parse_data_rows(raw: DataFrame, numbers: Sequence[str] = ()) -> DataFrame:
     A row with a present but unreadable value in one of the ``numbers`` fields is rejected.
     """
     keys = _keys(raw)
-    rows = _explode_items(
-        raw,
-        keys,
-        list_at("payload", "$.data"),
-        F.when(holds_non_list("payload", "$.data"), F.lit("data is not a list")),
-    )
-    reason = F.when(
-        F.col("item").isNotNull() & ~is_object("item"), F.lit("row is not an object")
-    )
+    rows = _explode_items(raw, keys, "$.data", "data")
+    empty = F.col("item").isNotNull()
+    for name in numbers:
+        empty = empty & field("item", f"$.{name}").isNull()
+    unread = F.when(empty & ~is_object("item"), F.lit(NOT_AN_OBJECT))
     for name in numbers:
-        reason = reason.when(
-            is_object("item") & number_or_zero("item", f"$.{name}").isNull(),
-            F.lit(f"{name} is not a number"),
+        unread = unread.when(
+            number_or_zero("item", f"$.{name}").isNull(), F.lit(f"{name} is not a number")
         )
-    return _reject(rows, reason).select(*keys, "item", *ERROR_COLUMNS)
+    return _reject(rows, unread).select(*keys, "item", *ERROR_COLUMNS)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

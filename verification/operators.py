@@ -395,10 +395,10 @@ def deduped_series(spark: SparkSession, d: str) -> DataFrame:
 @case(f"""
 SELECT * FROM ({I.ANNUAL_DOCUMENTS})
 QUALIFY row_number() OVER (
-  PARTITION BY indicator_id, year ORDER BY value DESC, indicator_name, category) = 1
+  PARTITION BY indicator_id, year ORDER BY value DESC, category DESC) = 1
 """)
 def deduped_annual(spark: SparkSession, d: str) -> DataFrame:
-    return dedupe(I.annual_documents(spark, d), ["indicator_id", "year"], [F.desc("value")])
+    return dedupe(I.annual_documents(spark, d), ["indicator_id", "year"], ["value"], last=True)
 
 
 TRADE_LINES_SQL = """
@@ -456,10 +456,9 @@ FROM orders
 def lag_12_rows(spark: SparkSession, d: str) -> DataFrame:
     """Keys here are not bounded, so the order of each is taken chunk by chunk."""
     orders = table(spark, d, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
-    position = F.floor(F.col("o_orderkey") / 1000)
     return with_prev(
         orders, "o_totalprice", 12, ["o_orderpriority"], ["o_orderkey"],
-        chunks=[position, F.floor(position / 1000)],
+        chunks=[F.expr("o_orderkey div 1000"), F.expr("o_orderkey div 1000000")],
     )
 
 
