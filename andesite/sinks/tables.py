@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -53,11 +54,27 @@ def _spread(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions) if partitions else df
 
 
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Have overwrites replace the whole table (static) or only partitions with rows (dynamic).
+
+    ``insertInto`` takes the mode from the session alone and ignores it as a write option.
+    """
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def overwrite_table(df: DataFrame, table: str) -> None:
     """Replace a table's content; columns are matched by name, types by store assignment."""
     partitions = _partition_columns(df.sparkSession, table)
     rows = _spread(_in_table_order(df, table), partitions)
-    rows.write.insertInto(table, overwrite=True)
+    with _overwriting(df.sparkSession, "static"):
+        rows.write.insertInto(table, overwrite=True)
 
 
 def overwrite_if_nonempty(df: DataFrame, table: str) -> bool:
@@ -122,10 +139,8 @@ def upsert_by_key(
     path = staging_path(spark, staging)
     upsert(existing, incoming, keys, order_by).write.parquet(path)
     merged = spark.read.schema(spark.table(table).schema).parquet(path)
-    writer = _spread(merged, partitions).write
-    if partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table, overwrite=True)
+    with _overwriting(spark, "dynamic"):
+        _spread(merged, partitions).write.insertInto(table, overwrite=True)
 
 
 def jdbc_overwrite(df: DataFrame, jdbc: Mapping[str, str]) -> None:

@@ -22,6 +22,8 @@ from andesite.functions.semistructured import (
 
 MALFORMED = "malformed json"
 NOT_AN_OBJECT = "row is not an object"
+NO_RESPONSE_OBJECT = "response is not an object"
+NO_RESPONSE_LIST = "response is not a list"
 ERROR_COLUMNS = ("_error", "_rejected_text")
 
 
@@ -53,7 +55,7 @@ def load_response_files(
     A response is read as one row, as the source sends it in one bounded page.
     """
     layout = ", ".join(["value string"] + [f"{k} string" for k in keys])
-    files = spark.read.schema(layout).option("wholetext", "true").text(path)
+    files = spark.read.schema(layout).text(path, wholetext=True)
     return responses_from(files, "value", keys)
 
 
@@ -62,20 +64,20 @@ def _keys(raw: DataFrame) -> list[str]:
 
 
 def _explode_items(
-    raw: DataFrame, keys: list[str], path: str, wrong: str, top: Column | None = None
+    raw: DataFrame, keys: list[str], path: str, wrong: str, shape: str
 ) -> DataFrame:
     """One row per element of the list at ``path``, or a single row that carries an error.
 
-    ``top`` is a further error of the whole response.  Lists and errors are computed before
+    ``shape`` is the error of a response of another kind.  Lists and errors are computed before
     they are exploded, in steps of their own: written in one step, they would be computed again
     for every element.
     """
     located = raw.select(*keys, "text", "payload", list_at("payload", path).alias("_items"))
-    error = F.when(F.col("payload").isNull(), F.lit(MALFORMED))
-    if top is not None:
-        error = error.when(F.col("_items").isNull() & top.isNotNull(), top)
-    error = error.when(
-        F.col("_items").isNull() & holds_other("payload", path), F.lit(f"{wrong} is not a list")
+    fits = is_object("payload") if shape == NO_RESPONSE_OBJECT else list_at("payload", "$").isNotNull()
+    error = (
+        F.when(F.col("payload").isNull(), F.lit(MALFORMED))
+        .when(F.col("_items").isNull() & ~fits, F.lit(shape))
+        .when(F.col("_items").isNull() & holds_other("payload", path), F.lit(f"{wrong} is not a list"))
     )
     judged = located.select(*keys, "text", "_items", error.alias("_error"))
     texts = judged.select(
@@ -102,7 +104,7 @@ def parse_period_series(raw: DataFrame) -> DataFrame:
     ``value`` field or a bare scalar.  ``raw_response`` is the period as JSON text.
     """
     keys = _keys(raw)
-    periods = _explode_items(raw, keys, "$.periods", "periods")
+    periods = _explode_items(raw, keys, "$.periods", "periods", NO_RESPONSE_OBJECT)
     named = periods.withColumns(
         {"period": field("item", "$.name"), "_values": list_at("item", "$.values")}
     )
@@ -130,8 +132,7 @@ def parse_period_series(raw: DataFrame) -> DataFrame:
 def parse_meta_rows(raw: DataFrame) -> DataFrame:
     """Flatten ``[metadata, rows]`` to (keys, item); an empty or null second element has no rows."""
     keys = _keys(raw)
-    whole = F.when(list_at("payload", "$").isNull(), F.lit("response is not a list"))
-    rows = _explode_items(raw, keys, "$[1]", "second element", whole)
+    rows = _explode_items(raw, keys, "$[1]", "second element", NO_RESPONSE_LIST)
     date, value = field("item", "$.date"), field("item", "$.value")
     unread = F.when(
         F.col("item").isNotNull() & value.isNull() & date.isNull() & ~is_object("item"),
@@ -146,7 +147,7 @@ def parse_data_rows(raw: DataFrame, numbers: Sequence[str] = ()) -> DataFrame:
     A row with a present but unreadable value in one of the ``numbers`` fields is rejected.
     """
     keys = _keys(raw)
-    rows = _explode_items(raw, keys, "$.data", "data")
+    rows = _explode_items(raw, keys, "$.data", "data", NO_RESPONSE_OBJECT)
     empty = F.col("item").isNotNull()
     for name in numbers:
         empty = empty & field("item", f"$.{name}").isNull()
