@@ -5,18 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# Texts of JSON values that count as no number at all.
+EMPTY_TEXTS = ("", "false", "[]", "{}")
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def num_or_zero(c: str | Column) -> Column:
-    """Number as double, with null and empty text read as 0.0.
+    """Number as double; 0.0 for null and for the texts of empty JSON values.
 
-    Text that is neither empty nor a number stays null; ``is_bad_number`` finds it.
+    Any other text that is no number stays null; ``is_bad_number`` finds it.
     """
     v = _col(c)
-    empty = v.isNull() | (v.cast("string") == "")
-    return F.when(empty, F.lit(0.0)).otherwise(v.try_cast("double"))
+    text = v.cast("string")
+    return (
+        F.when(v.isNull() | text.isin(*EMPTY_TEXTS), F.lit(0.0))
+        .when(text == "true", F.lit(1.0))
+        .otherwise(v.try_cast("double"))
+    )
 
 
 def is_bad_number(c: str | Column) -> Column:

@@ -26,11 +26,13 @@ def field_or(v: str | Column, path: str, default: str, null_text: str | None = N
     return F.coalesce(text, F.when(explicit, F.lit(null_text)), F.lit(default))
 
 
-def number_or_zero(v: str | Column, path: str) -> Column:
-    """Number at a path; 0.0 when absent, JSON null or empty; null when it is no number."""
-    text = field(v, path)
-    empty = text.isNull() | text.isin("", "[]", "{}")
-    return F.when(empty, F.lit(0.0)).otherwise(field(v, path, "double"))
+def computed_once(c: Column) -> Column:
+    """The same value, as a generator of one row.
+
+    Spark moves a filter on a projected column below the projection and computes the column
+    once for the filter and once more for its result.  It moves no filter below a generator.
+    """
+    return F.explode(F.array(c))
 
 
 def list_at(v: str | Column, path: str) -> Column:

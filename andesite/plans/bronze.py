@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from andesite import registry as R
-from andesite.functions.semistructured import field, field_or, number_or_zero
+from andesite.functions.measures import num_or_zero
+from andesite.functions.semistructured import field_or
 from andesite.functions.text import compose_id, flow_desc
 from andesite.operators.joins import enrich_from_registry, lookup_or_code
 from andesite.operators.project import (
@@ -30,8 +31,6 @@ from andesite.sources.responses import (
     parse_period_series,
 )
 
-TRADE_NUMBERS = ("primaryValue", "netWgt")
-
 
 def series_records(rows: DataFrame, run_ts: str | dt.datetime) -> DataFrame:
     """Bronze series from flattened, enriched rows."""
@@ -60,11 +59,11 @@ def annual_records(
         F.col("id").alias("indicator_id"),
         F.col("name").alias("indicator_name"),
         "category",
-        F.coalesce(field("item", "$.country.value"), F.lit(country)).alias("country"),
+        F.coalesce("fields.country.value", F.lit(country)).alias("country"),
         F.lit(country_code).alias("country_code"),
-        field("item", "$.date").alias("year"),
-        field("item", "$.value").alias("value"),
-        field_or("item", "$.unit", "").alias("unit"),
+        F.col("fields.date").alias("year"),
+        "fields.value",
+        F.coalesce("fields.unit", F.lit("")).alias("unit"),
         "item",
     )
     kept = require(read, "value").withColumn("id", compose_id("indicator_id", "year"))
@@ -91,17 +90,23 @@ def trade_records(
 
     A JSON null in a text field reads like an absent one, unless ``null_text`` is given.
     """
+
+    def text(name: str, default: str) -> Column:
+        if null_text is not None:
+            return field_or("item", f"$.{name}", default, null_text)
+        return F.coalesce(f"fields.{name}", F.lit(default))
+
     read = rows.select(
         F.lit(reporter_code).alias("reporter_code"),
         F.lit(reporter).alias("reporter"),
-        field_or("item", "$.partnerCode", "", null_text).alias("partner_code"),
+        text("partnerCode", "").alias("partner_code"),
         "flow_code",
         flow_desc("flow_code", flows).alias("flow_desc"),
         F.col("year").cast("string").alias("year"),
-        field_or("item", "$.cmdCode", "TOTAL", null_text).alias("cmd_code"),
-        field_or("item", "$.cmdDescE", "Total", null_text).alias("cmd_desc"),
-        number_or_zero("item", "$.primaryValue").alias("trade_value"),
-        number_or_zero("item", "$.netWgt").alias("net_weight"),
+        text("cmdCode", "TOTAL").alias("cmd_code"),
+        text("cmdDescE", "Total").alias("cmd_desc"),
+        num_or_zero("fields.primaryValue").alias("trade_value"),
+        num_or_zero("fields.netWgt").alias("net_weight"),
         "item",
     )
     named = lookup_or_code(read, partners, "partner_code", "partner").withColumn(
@@ -116,4 +121,4 @@ def bronze_trade(
     raw: DataFrame, partners: DataFrame, run_ts: str | dt.datetime, **settings
 ) -> DataFrame:
     """``{data: [...]}`` responses to one document per partner, flow, year and product."""
-    return trade_records(accepted(parse_data_rows(raw, TRADE_NUMBERS)), partners, run_ts, **settings)
+    return trade_records(accepted(parse_data_rows(raw)), partners, run_ts, **settings)

@@ -103,7 +103,7 @@ def ingest_sources(spark: SparkSession, cfg: FlowConfig) -> dict[str, str]:
         raw = load_envelopes(spark, cfg.trade_path, request)
         partners = R.partner_registry(spark)
         _ingest(
-            spark, cfg, "comtrade_peru", parse_data_rows(raw, bronze.TRADE_NUMBERS),
+            spark, cfg, "comtrade_peru", parse_data_rows(raw),
             lambda rows: bronze.trade_records(rows, partners, cfg.run_ts), request, ("year", "id"),
         )
 

@@ -12,15 +12,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from andesite.functions.measures import is_bad_number
 from andesite.functions.semistructured import (
+    computed_once,
     field,
     holds_other,
     is_object,
     list_at,
-    number_or_zero,
 )
 
 MALFORMED = "malformed json"
+# Fields read from the rows of annual and trade responses.
+META_FIELDS = "date string, value string, unit string, country struct<value: string>"
+DATA_FIELDS = (
+    "partnerCode string, cmdCode string, cmdDescE string, primaryValue string, netWgt string"
+)
 NOT_AN_OBJECT = "row is not an object"
 NO_RESPONSE_OBJECT = "response is not an object"
 NO_RESPONSE_LIST = "response is not a list"
@@ -124,39 +130,47 @@ def parse_period_series(raw: DataFrame) -> DataFrame:
     ).filter(F.col("element").isNotNull() | F.col("_error").isNotNull())
     text = field("element", "$.value")
     scalar = F.when(text.isNull() & ~is_object("element"), field("element", "$"))
-    return elements.select(
-        *keys, "period", F.coalesce(text, scalar).alias("value"), "raw_response", *ERROR_COLUMNS
-    )
+    value = computed_once(F.coalesce(text, scalar)).alias("value")
+    return elements.select(*keys, "period", value, "raw_response", *ERROR_COLUMNS)
+
+
+def _read_fields(rows: DataFrame, keys: list[str], fields: str) -> DataFrame:
+    """Add the text of some fields of each row as one struct; null for a row of another kind."""
+    read = F.try_variant_get("item", "$", f"struct<{fields}>")
+    return rows.select(*keys, "item", *ERROR_COLUMNS, computed_once(read).alias("fields"))
 
 
 def parse_meta_rows(raw: DataFrame) -> DataFrame:
-    """Flatten ``[metadata, rows]`` to (keys, item); an empty or null second element has no rows."""
+    """Flatten ``[metadata, rows]`` to (keys, item, fields).
+
+    ``item`` is the whole row; ``fields`` has date, value, unit and country as text.  An empty or
+    null second element has no rows.
+    """
     keys = _keys(raw)
     rows = _explode_items(raw, keys, "$[1]", "second element", NO_RESPONSE_LIST)
-    date, value = field("item", "$.date"), field("item", "$.value")
+    read = _read_fields(rows, keys, META_FIELDS)
     unread = F.when(
-        F.col("item").isNotNull() & value.isNull() & date.isNull() & ~is_object("item"),
-        F.lit(NOT_AN_OBJECT),
-    ).when(value.isNotNull() & date.isNull(), F.lit("row without date"))
-    return _reject(rows, unread).select(*keys, "item", *ERROR_COLUMNS)
+        F.col("item").isNotNull() & F.col("fields").isNull(), F.lit(NOT_AN_OBJECT)
+    ).when(
+        F.col("fields.value").isNotNull() & F.col("fields.date").isNull(), F.lit("row without date")
+    )
+    return _reject(read, unread)
 
 
-def parse_data_rows(raw: DataFrame, numbers: Sequence[str] = ()) -> DataFrame:
-    """Flatten ``{data: [...]}`` to (keys, item); a response without ``data`` has no rows.
+def parse_data_rows(raw: DataFrame) -> DataFrame:
+    """Flatten ``{data: [...]}`` to (keys, item, fields).
 
-    A row with a present but unreadable value in one of the ``numbers`` fields is rejected.
+    ``item`` is the whole row; ``fields`` has partner, product, value and weight as text.  A
+    response without ``data`` has no rows.  A row whose value or weight is present but no
+    number is rejected.
     """
     keys = _keys(raw)
     rows = _explode_items(raw, keys, "$.data", "data", NO_RESPONSE_OBJECT)
-    empty = F.col("item").isNotNull()
-    for name in numbers:
-        empty = empty & field("item", f"$.{name}").isNull()
-    unread = F.when(empty & ~is_object("item"), F.lit(NOT_AN_OBJECT))
-    for name in numbers:
-        unread = unread.when(
-            number_or_zero("item", f"$.{name}").isNull(), F.lit(f"{name} is not a number")
-        )
-    return _reject(rows, unread).select(*keys, "item", *ERROR_COLUMNS)
+    read = _read_fields(rows, keys, DATA_FIELDS)
+    unread = F.when(F.col("item").isNotNull() & F.col("fields").isNull(), F.lit(NOT_AN_OBJECT))
+    for name in ("primaryValue", "netWgt"):
+        unread = unread.when(is_bad_number(f"fields.{name}"), F.lit(f"{name} is not a number"))
+    return _reject(read, unread)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -119,9 +119,10 @@ def test_absent_and_null_fields(spark):
 
     assert read(js.field_or("v", "$.a", "?")) == ["x", "?", "?", "3", '{"b":1}']
     assert read(js.field_or("v", "$.a", "?", null_text="None")) == ["x", "None", "?", "3", '{"b":1}']
-    assert read(js.number_or_zero("v", "$.a")) == [None, 0.0, 0.0, 3.0, None]
+    assert read(measures.num_or_zero(js.field("v", "$.a"))) == [None, 0.0, 0.0, 3.0, None]
+    assert read(js.computed_once(js.field("v", "$.a"))) == read(js.field("v", "$.a"))
     assert read(js.holds_other("v", "$.a")) == [True, False, False, True, True]
     flags = '{"a":true,"b":false,"c":"","d":"12.5","e":[]}'
     one = spark.createDataFrame([(flags,)], "t string").select(F.parse_json("t").alias("v"))
-    got = one.select(*[js.number_or_zero("v", f"$.{k}") for k in "abcde"]).first()
+    got = one.select(*[measures.num_or_zero(js.field("v", f"$.{k}")) for k in "abcde"]).first()
     assert tuple(got) == (1.0, 0.0, 0.0, 12.5, 0.0)

@@ -70,7 +70,7 @@ def test_data_rows(spark, rows):
         ("b", '{"count":0}'),
         ("c", '{"data":{"partnerCode":1}}'),
         ("d", '{"data":[1,"x",null]}'),
-    ), ("primaryValue", "netWgt"))
+    ))
     good, bad = res.read_isolated(parsed)
     codes = good.select("id", field("item", "$.partnerCode", "int").alias("p"))
     assert rows(codes) == [("a", 156), ("a", 76), ("a", 999)]

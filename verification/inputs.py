@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from andesite.functions.calendar import MONTH_ABBREVIATIONS
-from verification.case import table
+from verification.case import spread, table
 
 RUN_TS = "2024-01-31T00:00:00"
 
@@ -30,7 +30,7 @@ def label_sql(c: str) -> str:
 
 
 def series_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.col("o_orderpriority").alias("series_id"),
         F.concat(F.lit("Prioridad "), "o_orderpriority").alias("series_name"),
         F.col("o_orderstatus").alias("category"),
@@ -73,7 +73,7 @@ QUALIFY row_number() OVER (
 
 def annual_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     return lines.join(brands, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_brand").alias("indicator_id"),
         F.concat(F.lit("Marca "), "p_brand").alias("indicator_name"),
@@ -170,7 +170,7 @@ def period_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string"),
     )
     cut = (F.col("o_orderstatus") == "P") & (price < 100000)
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.col("o_orderpriority").alias("id"),
         F.when(cut, F.substring(text, 1, 20)).otherwise(text).alias("response"),
     )
@@ -200,7 +200,7 @@ def annual_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(tax == 0.08, F.lit('[{"page":1},null]'))
         .otherwise(F.concat(F.lit('[{"page":1},'), rows, F.lit("]")))
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.concat_ws("-", "l_returnflag", "l_linestatus").alias("id"), text.alias("response")
     )
 
@@ -224,7 +224,7 @@ def trade_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = F.format_string(
         '{"partnerCode":%d%s,"primaryValue":%s,"netWgt":%s}', "l_suppkey", product, value, weight
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.col("l_returnflag").alias("flow_code"),
         F.year("l_shipdate").cast("string").alias("year"),
         F.when(F.col("l_tax") == 0.0, F.lit('{"count":0}'))

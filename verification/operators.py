@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from andesite.functions import text as text_functions
 from andesite.functions.measures import num_or_zero, yoy_abs, yoy_signed
-from andesite.functions.semistructured import field, field_or
+from andesite.functions.semistructured import field_or
 from andesite.functions.text import compose_id, flow_desc
 from andesite.operators import joins, project, quality, summaries
 from andesite.operators.dedupe import dedupe, upsert
@@ -43,7 +43,7 @@ def _periods(spark: SparkSession, d: str) -> DataFrame:
 
 def _trade_rows(spark: SparkSession, d: str) -> DataFrame:
     raw = responses.responses_from(I.trade_responses(spark, d), keys=("flow_code", "year"))
-    return responses.parse_data_rows(raw, ("primaryValue", "netWgt"))
+    return responses.parse_data_rows(raw)
 
 
 @case(I.PERIOD_ROWS)
@@ -57,9 +57,9 @@ def scan_meta_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = responses.accepted(responses.parse_meta_rows(raw))
     return rows.select(
         "id",
-        field_or("item", "$.country.value", "Peru").alias("country"),
-        field("item", "$.date").alias("year"),
-        field("item", "$.value", "double").alias("value"),
+        F.coalesce("fields.country.value", F.lit("Peru")).alias("country"),
+        F.col("fields.date").alias("year"),
+        F.col("fields.value").try_cast("double").alias("value"),
     )
 
 
@@ -67,7 +67,7 @@ def scan_meta_rows(spark: SparkSession, d: str) -> DataFrame:
 SELECT l_returnflag AS flow_code, CAST(year(l_shipdate) AS VARCHAR) AS year,
        CAST(l_suppkey AS INTEGER) AS partner_code,
        CASE WHEN l_discount = 0 THEN NULL ELSE l_quantity END AS weight
-FROM lineitem WHERE l_tax <> 0.0
+FROM lineitem WHERE l_tax NOT IN (0.0, 0.08)
 """)
 def scan_data_rows(spark: SparkSession, d: str) -> DataFrame:
     raw = responses.responses_from(I.trade_responses(spark, d), keys=("flow_code", "year"))
@@ -75,8 +75,8 @@ def scan_data_rows(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(
         "flow_code",
         "year",
-        field("item", "$.partnerCode", "int").alias("partner_code"),
-        field("item", "$.netWgt", "double").alias("weight"),
+        F.col("fields.partnerCode").try_cast("int").alias("partner_code"),
+        F.col("fields.netWgt").try_cast("double").alias("weight"),
     )
 
 
