@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from andesite import registry as R
 from andesite.plans import bronze, gold, silver
@@ -80,19 +80,26 @@ def _ingest(
         kept.unpersist()
 
 
+def _registered(raw: DataFrame, registry: DataFrame) -> DataFrame:
+    """Responses of registered ids, enriched, and lines too broken to tell their id."""
+    attributes = registry.select("id", "name", "category")
+    return raw.join(attributes, "id", "left").filter(
+        F.col("name").isNotNull() | F.col("payload").isNull()
+    )
+
+
 def ingest_sources(spark: SparkSession, cfg: FlowConfig) -> dict[str, str]:
     """Load the three sources; a source that fails is named in the result, the others go on."""
 
     def series() -> None:
-        reg = R.series_registry(spark).select("id", "name", "category")
-        raw = load_envelopes(spark, cfg.series_path).join(reg, "id")
+        raw = _registered(load_envelopes(spark, cfg.series_path), R.series_registry(spark))
         _ingest(
             spark, cfg, "bcrp_indicators", parse_period_series(raw),
             lambda rows: bronze.series_records(rows, cfg.run_ts), ("id",), ("category", "id"),
         )
 
     def annual() -> None:
-        raw = load_envelopes(spark, cfg.annual_path).join(R.annual_registry(spark), "id")
+        raw = _registered(load_envelopes(spark, cfg.annual_path), R.annual_registry(spark))
         _ingest(
             spark, cfg, "worldbank_indicators", parse_meta_rows(raw),
             lambda rows: bronze.annual_records(rows, cfg.run_ts), ("id",), ("category", "id"),

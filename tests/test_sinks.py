@@ -151,14 +151,14 @@ def test_layers_are_created_listed_and_dropped(spark, rows, tmp_path):
 MONTHS = ("Ene", "Feb", "Mar", "Abr", "May", "Jun", "Jul", "Ago", "Sep", "Oct", "Nov", "Dic")
 
 
-def _landed(tmp_path, with_series=True):
+def _landed(tmp_path):
     def lines(name, docs):
         (tmp_path / name).write_text("\n".join(d if isinstance(d, str) else json.dumps(d) for d in docs))
         return str(tmp_path / name)
 
     periods = [{"name": f"{m}.{y}", "values": [{"value": str((y - 2019) * 10 + i)}]}
                for y in (2020, 2021) for i, m in enumerate(MONTHS)]
-    series = [{"id": i, "response": {"periods": periods}} for i, *_ in R.SERIES] if with_series else []
+    series = [{"id": i, "response": {"periods": periods}} for i, *_ in (*R.SERIES, ("unregistered",))]
     annual = [{"id": i, "response": [{}, [{"date": str(y), "value": float(y), "unit": ""} for y in range(2000, 2016)]]}
               for i, *_ in R.ANNUAL]
     trade = [{"flow_code": f, "year": str(y), "response": {"data": [
@@ -197,6 +197,8 @@ def test_whole_flow(spark, rows, tmp_path):
         assert fact.select("load_timestamp").distinct().count() == 1
     errors = spark.read.parquet(f"{tmp_path}/err/comtrade_peru/2024/03/10")
     assert errors.count() == 12
+    lost = spark.read.parquet(f"{tmp_path}/err/bcrp_indicators/2024/03/10")
+    assert rows(lost, "id", "error", "text") == [(None, "malformed json", "{broken")]
     assert spark.read.parquet(f"{tmp_path}/snap/comtrade_peru/2024/03/10").count() == 36
 
     # A source that cannot be read is reported; the others and the old rows stay.
