@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def with_json(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add the JSON document that a text holds, null unless it holds exactly one.
+
+    Spark's parser stops after the first document and would drop what follows it.  Inside
+    brackets, anything after it is either a second element or an error.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit("]")))
+    only = F.when(
+        F.try_variant_get("_listed", "$[1]", "variant").isNull(),
+        F.try_variant_get("_listed", "$[0]", "variant"),
+    )
+    return df.withColumn("_listed", listed).withColumn(out, only).drop("_listed")
+
+
 def field(v: str | Column, path: str, type_: str = "string") -> Column:
     """Value at a path; null when absent, JSON null or not convertible."""
     return F.try_variant_get(_col(v), path, type_)

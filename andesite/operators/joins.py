@@ -70,6 +70,11 @@ def clip_to_window(
     return df.join(freqs, on, "inner").filter(inside).drop("freq")
 
 
+def clip_years(df: DataFrame, years: tuple[int, int], year: str = "year") -> DataFrame:
+    """Keep rows of the requested years, both included."""
+    return df.filter(F.col(year).try_cast("int").between(*years))
+
+
 def fk_orphans(fact: DataFrame, dim: DataFrame, on: str, key: str | None = None) -> DataFrame:
     """Foreign-key values without a dimension row, with their number of fact rows.
 

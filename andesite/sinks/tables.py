@@ -13,7 +13,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from andesite.operators.dedupe import latest, upsert
+from andesite.operators.dedupe import upsert
 
 log = logging.getLogger(__name__)
 

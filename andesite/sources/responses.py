@@ -19,6 +19,7 @@ from andesite.functions.semistructured import (
     holds_other,
     is_object,
     list_at,
+    with_json,
 )
 
 MALFORMED = "malformed json"
@@ -35,7 +36,7 @@ ERROR_COLUMNS = ("_error", "_rejected_text")
 
 def responses_from(df: DataFrame, text: str = "response", keys: Sequence[str] = ("id",)) -> DataFrame:
     """Response frame from a frame that has the request keys and the response text."""
-    return df.select(*keys, F.col(text).alias("text"), F.try_parse_json(text).alias("payload"))
+    return with_json(df.select(*keys, F.col(text).alias("text")), "text", "payload")
 
 
 def load_envelopes(spark: SparkSession, path: str, keys: Sequence[str] = ("id",)) -> DataFrame:
@@ -43,10 +44,8 @@ def load_envelopes(spark: SparkSession, path: str, keys: Sequence[str] = ("id",)
 
     Lines split over tasks, so one large file (or one busy source) spreads over the cluster.
     """
-    doc = spark.read.text(path).select(
-        F.col("value").alias("text"), F.try_parse_json("value").alias("doc")
-    )
-    return doc.select(
+    lines = spark.read.text(path).select(F.col("value").alias("text"))
+    return with_json(lines, "text", "doc").select(
         *[field("doc", f"$.{k}").alias(k) for k in keys],
         "text",
         F.try_variant_get("doc", "$.response", "variant").alias("payload"),

@@ -123,6 +123,11 @@ def test_extraction_window_depends_on_frequency(spark, rows):
                                 key=repr)
 
 
+def test_year_window(spark, rows):
+    df = spark.createDataFrame([("1999",), ("2000",), ("2025",), ("2026",), ("20x0",), (None,)], "year string")
+    assert rows(joins.clip_years(df, R.ANNUAL_YEARS)) == [("2000",), ("2025",)]
+
+
 def test_summaries(spark):
     series = spark.createDataFrame(
         [("c", "s", "Sep.2020"), ("c", "s", "Ene.2023"), ("b", "t", None)],

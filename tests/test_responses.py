@@ -26,6 +26,9 @@ def test_period_series(spark, rows):
         ("f", '{"periods":7}'),
         ("h", "[1]"),
         ("i", "null"),
+        ("j", '{"periods":[]}{"periods":[]}'),
+        ("k", '{"periods":[]},{"periods":[]}'),
+        ("l", ' {"periods":[]} '),
         ("g", '{"periods":[{"values":["1"]},{"name":"Feb.2020","values":["2"]},{"name":"x","values":3}]}'),
     ))
     good, bad = res.read_isolated(parsed)
@@ -35,6 +38,7 @@ def test_period_series(spark, rows):
     assert rows(bad, "id", "error") == sorted([
         ("e", "malformed json"), ("f", "periods is not a list"), ("g", "period without name"),
         ("g", "values is not a list"), ("h", "response is not an object"), ("i", "response is not an object"),
+        ("j", "malformed json"), ("k", "malformed json"),
     ], key=repr)
     texts = {r.id: r.text for r in bad.filter("id in ('e', 'f')").collect()}
     assert texts == {"e": '{"periods":[{"name":"Ene.2020","val', "f": '{"periods":7}'}

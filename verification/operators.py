@@ -20,7 +20,6 @@ from andesite.sources.relations import literal_table, read_collection
 from verification import inputs as I
 from verification.case import case, table
 from verification.layers import (
-    FLAGS_SQL,
     INDICATOR_FACT,
     PRIORITIES,
     PRIORITIES_SQL,
@@ -162,6 +161,15 @@ def extraction_window(spark: SparkSession, d: str) -> DataFrame:
     return joins.clip_to_window(dated, registry, dt.date(1999, 6, 15), dt.date(1996, 2, 10))
 
 
+@case("""
+SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS year FROM orders
+WHERE year(o_orderdate) BETWEEN 1996 AND 1999
+""")
+def year_window(spark: SparkSession, d: str) -> DataFrame:
+    years = table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").cast("string").alias("year"))
+    return joins.clip_years(years, (1996, 1999))
+
+
 # --- projection, enrichment and filters --------------------------------------------------
 
 
