@@ -9,8 +9,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from andesite import schemas
 from andesite.functions.calendar import month_is_known, month_start, period_month, period_year
 from andesite.functions.text import clean_number
+from andesite.operators.joins import fk_orphans
+from andesite.operators.project import unify
 from andesite.sources.relations import literal_table
 
 
@@ -52,6 +55,39 @@ def length_violations(df: DataFrame, spec: Mapping[str, int]) -> DataFrame:
     return _per_column(df, {c: F.length(c) > n for c, n in spec.items()}, "n_too_long")
 
 
+def check_star(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All declared constraints of a star schema that its tables break.
+
+    One line per table, check and column, with the number of keys (primary key) or rows.  Every
+    check reads its table once; pass stored tables, or persist what is costly to compute.
+    """
+    reports = []
+
+    def add(table: str, check: str, report: DataFrame, count: str) -> None:
+        tags = [F.lit(table).alias("table_name"), F.lit(check).alias("check")]
+        reports.append(report.select(*tags, "column_name", F.col(count).alias("n_rows")))
+
+    def total(rows: DataFrame, column: str, count: Column) -> DataFrame:
+        found = rows.agg(count.alias("n")).filter(F.col("n") > 0)
+        return found.withColumn("column_name", F.lit(column))
+
+    for table, df in tables.items():
+        if table in schemas.PRIMARY_KEYS:
+            keys = schemas.PRIMARY_KEYS[table]
+            doubled = total(pk_violations(df, keys), ", ".join(keys), F.count("*"))
+            add(table, "primary key", doubled, "n")
+        for column, dim in schemas.FOREIGN_KEYS.get(table, {}).items():
+            orphans = total(fk_orphans(df, tables[dim], column), column, F.sum("n_rows"))
+            add(table, "foreign key", orphans, "n")
+        if table in schemas.NOT_NULL:
+            add(table, "not null", null_violations(df, schemas.NOT_NULL[table]), "n_nulls")
+        if table in schemas.DECIMALS:
+            add(table, "decimal", serving_overflows(df, schemas.DECIMALS[table]), "n_overflows")
+        if table in schemas.TEXT_LENGTHS:
+            add(table, "length", length_violations(df, schemas.TEXT_LENGTHS[table]), "n_too_long")
+    return unify(*reports)
+
+
 def registry_check(registry: DataFrame, expected: DataFrame, key: str = "id") -> DataFrame:
     """Ids that are expected but missing, or present but unexpected."""
     have, want = registry.select(key).distinct(), expected.select(key).distinct()

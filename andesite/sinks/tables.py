@@ -97,6 +97,12 @@ def staging_path(spark: SparkSession, folder: str | None = None) -> str:
     return f"{base.rstrip('/')}/upsert-{uuid.uuid4().hex}"
 
 
+def _discard(spark: SparkSession, path: str) -> None:
+    """Delete a staging path that this run has written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _touched(incoming: DataFrame, existing: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """The rows of ``existing`` in partitions that ``incoming`` has rows for.
 
@@ -127,7 +133,7 @@ def upsert_by_key(
     Only table partitions that the batch touches are read and rewritten; the partition columns
     must be among ``keys``.  The merged rows are first written to the shared checkpoint folder
     and read back from there, so the table is never overwritten while it is being read and a
-    lost executor costs nothing that was merged.
+    lost executor costs nothing that was merged.  They are deleted after success only.
     """
     partitions = _partition_columns(spark, table)
     if not set(partitions) <= set(keys):
@@ -139,8 +145,13 @@ def upsert_by_key(
     path = staging_path(spark, staging)
     upsert(existing, incoming, keys, order_by).write.parquet(path)
     merged = spark.read.schema(spark.table(table).schema).parquet(path)
-    with _overwriting(spark, "dynamic"):
-        _spread(merged, partitions).write.insertInto(table, overwrite=True)
+    try:
+        with _overwriting(spark, "dynamic"):
+            _spread(merged, partitions).write.insertInto(table, overwrite=True)
+    except SPARK_ERRORS:
+        log.error("upsert into %s failed; its merged rows are kept at %s", table, path)
+        raise
+    _discard(spark, path)
 
 
 def jdbc_overwrite(df: DataFrame, jdbc: Mapping[str, str]) -> None:

@@ -13,7 +13,7 @@ from andesite import registry as R
 from andesite.operators import joins, project, quality, summaries
 from andesite.operators.dedupe import dedupe, latest, upsert
 from andesite.operators.window import with_prev
-from andesite.schemas import ANNUAL_CANDIDATES, SERIES_CANDIDATES
+from andesite.schemas import ANNUAL_CANDIDATES, DECIMALS, NOT_NULL, SERIES_CANDIDATES, TEXT_LENGTHS
 from andesite.sources.relations import empty_like, literal_table, read_collection
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -160,6 +160,29 @@ def test_constraint_reports(spark, rows):
     assert sorted(float(r.v) for r in cast.collect()) == [-2.5, 1.01]
 
 
+def test_star_report_names_every_broken_constraint(spark, rows):
+    dim = spark.createDataFrame([(1, "p", None), (1, "p" * 101, "r"), (2, None, "r")],
+                                "partner_key int, partner_name string, region string")
+    days = spark.createDataFrame([(20200101,)], "date_key int")
+    days = days.select("date_key", *[F.lit("x").alias(c) for c in NOT_NULL["dim_date"][1:]])
+    fact = spark.createDataFrame(
+        [(20200101, 1, "M", 1e17, 1.0), (20210101, 3, "TOOLONG", 1.0, None), (20210101, None, "X", 1.0, 1.0)],
+        "date_key int, partner_key int, flow_code string, trade_value double, net_weight double")
+    texts = [c for c in TEXT_LENGTHS["fact_trade_yearly"] if c not in fact.columns]
+    numbers = [c for c in DECIMALS["fact_trade_yearly"] if c not in fact.columns]
+    fact = fact.select("*", *[F.lit("t").alias(c) for c in texts], *[F.lit(1.0).alias(c) for c in numbers])
+    star = {"dim_trade_partner": dim, "dim_date": days, "fact_trade_yearly": fact}
+    assert rows(quality.check_star(star)) == sorted([
+        ("dim_trade_partner", "primary key", "partner_key", 1),
+        ("dim_trade_partner", "not null", "partner_name", 1),
+        ("dim_trade_partner", "length", "partner_name", 1),
+        ("fact_trade_yearly", "foreign key", "date_key", 2),
+        ("fact_trade_yearly", "foreign key", "partner_key", 1),
+        ("fact_trade_yearly", "not null", "partner_key", 1),
+        ("fact_trade_yearly", "decimal", "trade_value", 1),
+        ("fact_trade_yearly", "length", "flow_code", 1)], key=repr)
+
+
 def test_orphans_are_counted_per_key(spark, rows):
     fact = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
     dim = spark.createDataFrame([(1,), (9,)], "k int")

@@ -69,6 +69,14 @@ def test_keys_are_reduced_before_the_shuffle(spark, capsys):
         assert exchange < partial  # plans read bottom up
 
 
+def test_costly_columns_are_computed_once(spark, capsys):
+    plan = plan_of(QUERIES["silver_series"](spark, SF_DIR), capsys)
+    assert plan.count("regexp_replace(") == 1 and plan.count("regexp_extract(") == 1
+    assert plan.count("Contains(period") == 12
+    plan = plan_of(QUERIES["bronze_trade_documents"](spark, SF_DIR), capsys)
+    assert plan.count("StructField(partnerCode") == 1 and plan.count("parseJson(") == 1
+
+
 def test_monthly_fact_shuffles_twice_and_prunes_columns(spark, capsys):
     plan = plan_of(QUERIES["monthly_fact_yoy"](spark, SF_DIR), capsys)
     assert plan.count("Exchange hashpartitioning") == 2

@@ -83,6 +83,7 @@ def test_upsert_by_key(spark, rows, layer, tmp_path, partition_by):
         key=repr)
     now = {r[0] for r in spark.table(t).filter("category = 'b'").select(F.input_file_name()).collect()}
     assert (now == untouched) == bool(partition_by)
+    assert list(tmp_path.iterdir()) == []  # nothing stays staged
 
 
 def test_upsert_with_many_touched_partitions_uses_a_join(spark, rows, layer, tmp_path, monkeypatch):
@@ -103,8 +104,14 @@ def test_upsert_refuses_partitions_outside_the_key(spark, layer):
         tables.upsert_by_key(spark, spark.createDataFrame([], DOCUMENTS), t)
 
 
-def test_staging_lies_in_the_shared_folder_of_the_session(spark):
-    assert tables.staging_path(spark).startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/")
+def test_staging_lies_in_the_shared_folder_of_the_session(spark, tmp_path):
+    assert tables.staging_path(spark, str(tmp_path)).startswith(f"{tmp_path}/upsert-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        assert tables.staging_path(spark).startswith(shared.rstrip("/") + "/upsert-")
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            tables.staging_path(spark)
 
 
 def test_dual_write_sends_the_written_table_to_the_database(spark, rows, layer, monkeypatch):

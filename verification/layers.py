@@ -8,6 +8,7 @@ from andesite import registry as R
 from andesite.functions.calendar import date_spine_of
 from andesite.operators.joins import star_indicators, star_trade
 from andesite.operators.project import unify
+from andesite.operators.quality import check_star
 from andesite.plans.bronze import bronze_annual, bronze_series, bronze_trade
 from andesite.plans.gold import (
     describe_days,
@@ -288,15 +289,8 @@ def star_of_indicators(spark: SparkSession, d: str) -> DataFrame:
     return star_indicators(indicator_fact_yoy(spark, d), dates, members)
 
 
-@case(f"""
-SELECT f.*, full_date, quarter, month_name, day_name, is_weekend, partner_name, region
-FROM ({TRADE_FACT}) f
-     LEFT JOIN ({STAR_DATES}) dd ON f.date_key = dd.date_key
-     LEFT JOIN (SELECT n_nationkey, n_name AS partner_name, r_name AS region
-                FROM nation JOIN region ON n_regionkey = r_regionkey
-                WHERE r_name <> 'ASIA') dp ON f.partner_key = dp.n_nationkey
-""")
-def star_of_trade(spark: SparkSession, d: str) -> DataFrame:
+def partial_dimensions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Dates from 1997 on, and partners outside Asia."""
     dates = describe_days(order_days(spark, d).filter("full_date >= date'1997-01-01'"))
     regions = table(spark, d, "region").filter("r_name <> 'ASIA'")
     partners = (
@@ -308,4 +302,41 @@ def star_of_trade(spark: SparkSession, d: str) -> DataFrame:
             F.col("r_name").alias("region"),
         )
     )
-    return star_trade(trade_fact_yoy(spark, d), dates, partners)
+    return dates, partners
+
+
+@case(f"""
+SELECT f.*, full_date, quarter, month_name, day_name, is_weekend, partner_name, region
+FROM ({TRADE_FACT}) f
+     LEFT JOIN ({STAR_DATES}) dd ON f.date_key = dd.date_key
+     LEFT JOIN (SELECT n_nationkey, n_name AS partner_name, r_name AS region
+                FROM nation JOIN region ON n_regionkey = r_regionkey
+                WHERE r_name <> 'ASIA') dp ON f.partner_key = dp.n_nationkey
+""")
+def star_of_trade(spark: SparkSession, d: str) -> DataFrame:
+    return star_trade(trade_fact_yoy(spark, d), *partial_dimensions(spark, d))
+
+
+@case(f"""
+SELECT 'fact_trade_yearly' AS table_name, 'foreign key' AS "check", 'date_key' AS column_name,
+       count(*) AS n_rows
+FROM ({TRADE_FACT}) WHERE date_key NOT IN (SELECT date_key FROM ({STAR_DATES})) HAVING count(*) > 0
+UNION ALL
+SELECT 'fact_trade_yearly', 'foreign key', 'partner_key', count(*)
+FROM ({TRADE_FACT}) JOIN nation ON partner_key = n_nationkey
+     JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' HAVING count(*) > 0
+UNION ALL
+SELECT 'dim_trade_partner', 'not null', 'partner_name', count(*)
+FROM nation JOIN region ON n_regionkey = r_regionkey
+WHERE r_name <> 'ASIA' AND n_nationkey < 5 HAVING count(*) > 0
+""")
+def star_constraints(spark: SparkSession, d: str) -> DataFrame:
+    dates, partners = partial_dimensions(spark, d)
+    unnamed = F.when(F.col("partner_key") >= 5, F.col("partner_name"))
+    return check_star(
+        {
+            "dim_date": dates,
+            "dim_trade_partner": partners.withColumn("partner_name", unnamed),
+            "fact_trade_yearly": trade_fact_yoy(spark, d),
+        }
+    )
