@@ -18,6 +18,14 @@ def money_text(c: str) -> Column:
     return F.col(c).cast("decimal(18,2)").cast("string")
 
 
+def money_sum(c: str) -> Column:
+    """Exact sum of amounts with two decimals, added up as whole cents.
+
+    Decimal sums of this size leave the primitive types and take several times as long.
+    """
+    return F.sum(F.rint(F.col(c) * 100).cast("bigint")) / 100
+
+
 def label(c: str) -> Column:
     """Spanish month label of a timestamp, such as ``Ene.2020``."""
     months = F.array(*map(F.lit, MONTH_ABBREVIATIONS))
@@ -114,8 +122,8 @@ def trade_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("s_nationkey", "l_returnflag", F.year("l_shipdate").alias("year"), "p_brand")
         .agg(
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("trade_value"),
-            F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("net_weight"),
+            money_sum("l_extendedprice").alias("trade_value"),
+            money_sum("l_quantity").alias("net_weight"),
         )
     )
     return records.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
