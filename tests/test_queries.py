@@ -9,9 +9,9 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from verification.case import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not available")
 
@@ -29,6 +29,7 @@ def plan_of(df, capsys) -> str:
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
