@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from andesite.llm import pii
-from andesite.llm.common import table
+from andesite.llm import packed_files, packing, pii
+from andesite.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,3 +22,16 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
 @query
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.pii_spans(table(spark, sf_dir, "documents")))
+
+
+@query
+def op5_packed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments read back from the files of packed rows."""
+    folder = f"{shared_folder(spark)}/packed-{uuid.uuid4().hex}"
+    packed = packed_files.write_packed(table(spark, sf_dir, "documents"), folder)
+    return packed_files.packed_pieces(packed)
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
