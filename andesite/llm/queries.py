@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from andesite.llm import packed_files, packing, pii
+from andesite.llm import fertility, packed_files, packing, pii, unigram
 from andesite.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,13 @@ def op5_packed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(table(spark, sf_dir, "documents"))
