@@ -5,9 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from andesite.llm import fertility, packed_files, packing, pii, unigram
+from andesite.llm import fertility, langid, packed_files, packing, pii, unigram, urls
 from andesite.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()))
+    held = F.coalesce(langid.held_out(), F.lit(False)).alias("held_out")
+    return langid.predict(docs, model).select("doc_id", held, "lang_pred", "score", "languages")
+
+
+@query
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
