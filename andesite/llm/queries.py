@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from andesite.llm import fertility, langid, packed_files, packing, pii, unigram, urls
+from andesite.llm import fertility, langid, mixing, packed_files, packing, pii, unigram, urls
 from andesite.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,13 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "source", "epoch", "tokens", "position", "block", "order_key"
+    )
+
+
+SQL["op9_mixing"] = mixing.MIX_SQL
