@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from andesite.llm import fertility, langid, mixing, near_dup, packed_files, packing, pii, unigram, urls
+from andesite.llm import fertility, langid, mixing, near_dup, packed_files, packing, pii, topk, unigram, urls
 from andesite.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,11 @@ SQL["op9_mixing"] = mixing.MIX_SQL
 @query
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+SQL["op2_top_k"] = topk.SEARCH_SQL
