@@ -60,6 +60,9 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     gap = b"\0" * 4
     codes = np.frombuffer(gap + gap.join(parts) + gap, "<u4")
     letters = folded_letters()[codes]
+    if len(letters) < ORDER:  # a single empty text
+        none = np.zeros(len(texts), np.int64)
+        return none[:0], none, none
     h = letters[:-2] * np.uint32(0x9E3779B1)
     h ^= letters[1:-1] * np.uint32(0x85EBCA77)
     h += h << np.uint32(7)
