@@ -1,0 +1,532 @@
+"""The operators for training data against brute force, and on awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import types as T
+from tokenizers import Tokenizer
+
+import oracle
+from andesite.llm import (
+    fertility, langid, mixing, near_dup, packed_files, packing, pii, queries, topk, unigram, urls,
+)
+from andesite.llm.common import table
+from andesite.llm.tokens import TokenIds, load_ranks
+
+SF_DIR = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, spans int, key string, rank int"
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not available")
+
+
+def awkward_texts() -> list[str | None]:
+    return [
+        None, "", " \n\t ", "?! 12", "a", "A b\x0bc", "x  y   z \n  q\n", "word " * 3000, "é" * 20000,
+        "+1 (366) 555-9807", "mail a.b@c.example.org or 10.0.0.256 and 10.0.0.1",
+        "the and of to in with that this is it " * 20, "the and of to in with that this is it " * 20,
+    ]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Nulls, empty and long texts, repeated rows and further columns with clashing names."""
+    rows = [(i, t, "en" if i % 2 else None, None if i % 3 else "s", None, 1, "k", 2)
+            for i, t in enumerate(awkward_texts())]
+    rows += [rows[-1], (None, "some text of no one", None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r[0]: r[1] for r in table(spark, SF_DIR, "documents").select("doc_id", "text").collect()}
+
+
+def by_id(df, key="doc_id"):
+    return {r[key]: r.asDict() for r in df.collect()}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return oracle.connect(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_matches_sql(spark, duck, name):
+    assert oracle.difference(queries.QUERIES[name](spark, SF_DIR), duck, queries.SQL[name]) is None
+
+
+# --- personal data -----------------------------------------------------------------------
+
+PII_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_base(text):
+    found = []
+    for kind, pattern in PII_PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            s = m.group()
+            digits = [int(c) for c in s if c in "0123456789"]
+            odd = digits[::-1]
+            ok = {
+                "email": True,
+                "ip": kind != "ip" or all(int(p) <= 255 for p in s.split(".")),
+                "card": 13 <= len(digits) <= 19
+                and sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(odd)) % 10 == 0,
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if ok:
+                found.append(f"{kind}:{m.start()}:{m.end()}")
+    return found
+
+
+PII_TEXTS = [
+    "a@b@c.de x@y.z.w. @q.r a.@-.-", "1.2.3.4.5.6.7.8 999.1.1.1 0001.02.3.4 1.2.3",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112 4041894974608795", "+1 (366) 555-9807 +12 +1((((((  +49 30 1234567.",
+    "me@me.org" * 3, "é+1 800 555 0199é ü@ü.de ü.x@a-b.c", "5500 0000 0000 0004 5500 0000 0000 0004",
+]
+
+
+def test_base_spans_are_those_of_the_patterns(texts):
+    for text in [*texts.values(), *PII_TEXTS, *awkward_texts()]:
+        base = [f"{k}:{s}:{e}" for k, s, e, _ in pii.find_spans(text) if k in pii.BASE_KINDS]
+        assert base == plain_base(text), text
+
+
+def test_checksums_and_context_decide_added_spans():
+    found = pii.find_spans("Bank account DE89 3704 0044 0532 0130 00 and DE89 3704 0044 0532 0130 01")
+    assert [(k, s, e) for k, s, e, _ in found] == [("iban", 13, 40)]
+    assert pii.find_spans("Phone: 212-555-0187")[0][:3] == ("local", 7, 19)
+    assert pii.find_spans("Part 212-555-0187") == []
+    assert pii.find_spans("SSN 123-45-6789")[0][0] == "ssn" and pii.find_spans("No 123-45-6789") == []
+    near, far = pii.find_spans("server 10.0.0.1")[0], pii.find_spans("xxxxxx 10.0.0.1")[0]
+    assert near[3] > far[3]
+
+
+def test_pii_query_and_redaction(spark, texts, awkward, nothing):
+    got = by_id(queries.op1_pii(spark, SF_DIR))
+    assert set(got) == set(texts)
+    for doc_id, row in got.items():
+        base = plain_base(texts[doc_id])
+        assert row["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        for kind in pii.BASE_KINDS:
+            assert row[f"n_{kind}"] == sum(b.startswith(kind) for b in base)
+        assert set(base) <= set(filter(None, row["spans"].split(",")))
+    assert pii.pii_spans(awkward).count() == awkward.count() and pii.pii_spans(nothing).count() == 0
+    clean = pii.redact_pii(awkward)
+    assert clean.columns == awkward.columns and clean.count() == awkward.count()
+    cleaned = [r["text"] for r in clean.filter("doc_id = 10").collect()]
+    assert cleaned == ["mail <EMAIL> or 10.0.0.256 and <IP>"]
+
+
+# --- search ------------------------------------------------------------------------------
+
+
+def test_search_with_ties_and_unusable_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.integers(-2, 3, 6) / 4]) for i in range(400)]
+    rows += [(400, None), (401, [None] * 6), (402, [float("nan")] * 6), (403, []), (404, [1.0]), (None, [1.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(5)
+    for wave in (topk.WAVE, 3):
+        got = defaultdict(list)
+        for r in topk.search(df, topk.F.col("vec_id") % 50 == 0, wave=wave).collect():
+            got[r.query_id].append((r["rank"], r.vec_id, r.score))
+        q = {i: np.floor(256 * np.array(v)).astype(int) for i, v in rows[:400]}
+        for i in range(0, 400, 50):
+            scores = sorted((-int(q[i] @ q[j]), j) for j in q if j != i)[:5]
+            assert sorted(got[i]) == [(n + 1, j, -s) for n, (s, j) in enumerate(scores)]
+        assert set(got) == set(range(0, 400, 50))
+    few = df.filter("vec_id IN (0, 1, 2)")
+    assert topk.search(few, topk.F.col("vec_id") == 0).count() == 2
+    assert topk.search(df.limit(0), topk.F.col("vec_id") == 0).count() == 0
+
+
+def test_scores_beyond_floats_are_exact():
+    a = np.array([[float(2**40), 1.0]])
+    assert int(topk.multiply(a, a)[0, 0]) == 2**80 + 1
+
+
+# --- token counts and fertility ----------------------------------------------------------
+
+
+def plain_viterbi(word, model):
+    marked = unigram.WORD_MARK + word
+    best = [(0.0, 0)] + [None] * len(marked)
+    for end in range(1, len(marked) + 1):
+        options = []
+        c = marked[end - 1]
+        if c not in model.score:
+            n = len(c.encode())
+            options.append((best[end - 1][0] + n * model.byte_score, -(best[end - 1][1] + n)))
+        for start in range(end):
+            s = model.score.get(marked[start:end])
+            if s is not None:
+                options.append((best[start][0] + s, -(best[start][1] + 1)))
+        top = max(options)
+        best[end] = (top[0], -top[1])
+    return best[-1][1]
+
+
+def test_token_counts_match_a_search_word_by_word(spark, texts, awkward, nothing):
+    model = unigram.Unigram(public_tokenizers.path("piece_bpe_32k.model"))
+    known = {}
+
+    def count(word):
+        if word not in known:
+            known[word] = plain_viterbi(word, model)
+        return known[word]
+
+    got = by_id(unigram.token_counts(table(spark, SF_DIR, "documents")))
+    for doc_id in sorted(texts)[:60]:
+        words = WORD.findall(texts[doc_id])
+        assert got[doc_id]["n_words"] == len(words)
+        assert got[doc_id]["n_tokens"] == sum(map(count, words))
+    odd = by_id(unigram.token_counts(awkward))
+    assert odd[0]["n_tokens"] == odd[1]["n_words"] == odd[2]["n_words"] == 0
+    assert odd[5]["n_words"] == 3 and unigram.token_counts(nothing).count() == 0
+
+
+def test_fertility_counts_and_verdicts(spark, texts, awkward, nothing):
+    got = by_id(queries.op4_fertility(spark, SF_DIR))
+    for doc_id, text in texts.items():
+        words = WORD.findall(text)
+        windows = Counter(zip(words, words[1:], words[2:]))
+        inside = set()
+        for i, w in enumerate(zip(words, words[1:], words[2:])):
+            if windows[w] > 1:
+                inside |= {i, i + 1, i + 2}
+        lines = [x for x in text.split("\n") if WORD.search(x)]
+        row = got[doc_id]
+        want = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+                len(lines) - len(set(lines)), len(inside))
+        assert tuple(row[c] for c in fertility.COUNTS[:5]) == want
+        failed = len(words) < 50 or 100 * len(inside) > 50 * len(words)
+        assert row["base_failed"] == failed and not (failed and row["kept"])
+    odd = fertility.judge(awkward)
+    assert odd.count() == awkward.count() and odd.filter("doc_id < 3 AND kept").count() == 0
+    assert fertility.judge(nothing).count() == 0
+
+
+def test_bands_are_quartiles_and_reject_outliers(spark):
+    rows = [(i, "en", 100, 0, 2.0 + (i % 5) / 10, 0.0, 0.7) for i in range(100)]
+    rows += [(100, "en", 100, 0, 9.0, 0.0, 0.7), (101, "en", 10, 0, 9.0, 0.0, 0.7)]
+    df = spark.createDataFrame(
+        rows, "doc_id int, group string, n_words int, n_repeat_words int, chars_per_token double, byte_share double, evenness double")
+    low, high = fertility.bands(df).filter("figure = 'chars_per_token'").select("low", "high").first()
+    values = sorted(r[4] for r in rows if r[2] >= 50)
+    q1, q3 = values[-(-len(values) // 4) - 1], values[-(-3 * len(values) // 4) - 1]
+    assert abs(low - (q1 - 3 * (q3 - q1))) < 1e-9 and abs(high - (q3 + 3 * (q3 - q1))) < 1e-9 and high < 9
+
+
+# --- token ids and packing ---------------------------------------------------------------
+
+
+def test_ids_equal_those_of_the_tokenizer(texts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert load_ranks(path) == load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    own, plain = TokenIds(path), Tokenizer.from_file(path)
+    odd = ["a  b", " a", "a ", "a\n b", "a \n", "\u00a0 x", "x\u2003 y", "don't  I'll", "日本 語", "\x85 y", "tab\t x", " "]
+    for text in [*list(texts.values())[:80], *odd, *[t for t in awkward_texts() if t]]:
+        got = np.frombuffer(own.encode(text), "<u4").tolist()
+        assert got == plain.encode(text, add_special_tokens=False).ids, text[:40]
+
+
+def check_pieces(rows, texts, width):
+    """Every id in one piece, pieces gapless in their sequences, and the ids those of the texts."""
+    own = TokenIds(public_tokenizers.path("byte_bpe_50k.json"))
+    documents, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        documents[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(documents) == set(texts)
+    for doc_id, parts in documents.items():
+        ids = own.encode(texts[doc_id]) + b"\0\0\0\0"
+        at = 0
+        for r in sorted(parts, key=lambda r: r["start"]):
+            piece = ids[4 * at : 4 * (at + r["length"])]
+            assert r["start"] == at and r["ids_crc32"] == zlib.crc32(piece) and r["doc_tokens"] == len(ids) // 4
+            at += r["length"]
+        assert at == len(ids) // 4
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= width
+    return sum(r["length"] for r in rows) / (width * len(sequences))
+
+
+def test_packing_places_every_id_with_little_padding(spark, texts):
+    rows = queries.op7_packing(spark, SF_DIR).collect()
+    assert check_pieces(rows, texts, packing.WINDOW) > 0.97
+    rows = queries.op5_packed_files(spark, SF_DIR).collect()
+    assert check_pieces(rows, texts, packed_files.WIDTH) > 0.97
+
+
+def test_packing_of_awkward_rows(spark, awkward, nothing):
+    one = awkward.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    own = {r["doc_id"]: r["text"] for r in one.collect()}
+    check_pieces(packing.pack(one).collect(), own, packing.WINDOW)
+    check_pieces(packed_files.packed_pieces(packed_files.pack_documents(one)).collect(), own, packed_files.WIDTH)
+    assert packing.pack(awkward).filter("doc_id IS NULL").count() == 1
+    assert packing.pack(nothing).count() == 0 and packed_files.pack_documents(nothing).count() == 0
+
+
+def test_packed_rows_have_bounds_and_positions(spark):
+    for r in packed_files.pack_documents(table(spark, SF_DIR, "documents")).limit(20).collect():
+        positions = np.frombuffer(r.position_ids, "<i4")
+        assert len(r.input_ids) == 2 * packed_files.WIDTH and len(positions) == packed_files.WIDTH
+        for begin, end in zip(r.cu_seqlens, r.cu_seqlens[1:]):
+            assert positions[begin:end].tolist() == list(range(end - begin))
+        filled = np.frombuffer(r.input_ids, "<u2")
+        assert not filled[r.cu_seqlens[-1] :].any()
+
+
+def test_best_fit_is_the_least_room_that_is_enough():
+    rng = np.random.default_rng(1)
+    lengths = [int(x) for x in rng.integers(1, 101, 500)]
+    rooms, want = [], 0
+    for n in sorted(lengths, reverse=True):
+        fitting = [i for i, room in enumerate(rooms) if room >= n]
+        if fitting:
+            i = min(fitting, key=lambda i: rooms[i])
+            rooms[i] -= n
+        else:
+            rooms.append(100 - n)
+            want += 1
+    rows = packed_files.best_fit_decreasing(lengths, 100)
+    assert len(rows) == want and sorted(i for row in rows for i in row) == list(range(500))
+    assert all(sum(lengths[i] for i in row) <= 100 for row in rows)
+
+
+def test_plan_uses_up_any_histogram():
+    rng = np.random.default_rng(2)
+    for trial in range(20):
+        histogram = {int(k): int(n) for k, n in zip(rng.integers(1, 65, 30), rng.integers(1, 900, 30))}
+        steps, used = packing.plan(histogram, 64), Counter()
+        for parts, repeats in steps:
+            assert sum(parts) <= 64 and repeats > 0
+            for p in parts:
+                used[p] += repeats
+        assert used == histogram
+    assert packing.plan({}, 64) == []
+    x = packing.nnls(np.array([[1.0, 0], [0, 1], [1, 1]]), np.array([2.0, -1, 1]))
+    assert np.allclose(x, [1.5, 0], atol=1e-6)
+
+
+# --- languages ---------------------------------------------------------------------------
+
+
+def test_languages_of_held_out_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    got = queries.op6_language(spark, "/root/testdata/sf0.01")
+    for r in got.collect():
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1
+    held = got.filter("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert held.filter("lang = lang_pred").count() >= 0.97 * held.count()
+
+
+def test_language_of_mixed_and_awkward_texts(spark, awkward, nothing):
+    model = langid.train(table(spark, "/root/testdata/sf0.01", "documents"))
+    docs = {r["lang"]: r["text"] for r in table(spark, "/root/testdata/sf0.01", "documents").filter("n_chars > 1500").collect()}
+    both = docs["en"][:1200] + " " + docs["de"][:600]
+    (name, score, chosen), = langid.infer([both], model)
+    assert name == "en" and {x.split(":")[0] for x in chosen.split(",")} == {"en", "de"} and 0.5 < score < 0.85
+    odd = by_id(langid.predict(awkward, model))
+    assert [odd[i]["lang_pred"] for i in range(4)] == ["und"] * 4 and odd[4]["lang_pred"] in model.languages
+    assert langid.predict(nothing, model).count() == 0
+    empty = langid.train(nothing)
+    assert {r["lang_pred"] for r in langid.predict(awkward, empty).collect()} == {"und"}
+    kept = langid.keep_known(awkward, model, 0.3)
+    assert kept.columns == awkward.columns and kept.filter("doc_id < 4").count() == 0
+
+
+# --- URLs --------------------------------------------------------------------------------
+
+
+def plain_host_path(url):
+    if not url or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host):]).group()
+    return host.translate(str.maketrans(urls.UPPER, urls.LOWER)), path
+
+
+def plain_rule(host, path):
+    best = None
+    for verdict, h, p in urls.RULES:
+        if (host == h or host.endswith("." + h)) and path.startswith(p):
+            if best is None or len(h + p) > len(best[0]):
+                best = (h + p, verdict)
+    return best
+
+
+def plain_scores(rows):
+    """Scores of all URLs from dictionaries of counts."""
+    def codes(url):
+        c = [urls.START] * 2 + [urls.ALPHABET.find(x) + 1 for x in url.lower()]
+        return list(zip(c, c[1:], c[2:]))
+
+    seen = {v: [Counter() for _ in range(6)] for v in ("allow", "block")}
+    for url, decided in rows:
+        if decided and zlib.crc32(url.encode()) % 5:
+            for a, b, c in codes(url):
+                for counter, key in zip(seen[decided], ((a, b, c), (a, b), (b, c), b, c, 0)):
+                    counter[key] += 1
+
+    def log(v, a, b, c):
+        t, t_all, p, p_all, o, o_all = seen[v]
+        p0 = (o[c] + urls.WEIGHT / urls.SIZE) / (o_all[0] + urls.WEIGHT)
+        p1 = (p[b, c] + urls.WEIGHT * p0) / (p_all[b] + urls.WEIGHT)
+        return np.log((t[a, b, c] + urls.WEIGHT * p1) / (t_all[a, b] + urls.WEIGHT))
+
+    return {u: np.mean([log("allow", *x) - log("block", *x) for x in codes(u)]) if u else 0.0 for u, _ in rows}
+
+
+def test_urls_match_plain_models(spark):
+    pages = table(spark, "/root/testdata/sf0.01", "pages").select("page_id", "url")
+    odd = ["", None, "no scheme", "HTTP://A.Example.NET/EN/x", "x://example.net", "x://example.net/en/?q#f",
+           "x://notexample.com/de/", "x://org/fr/", "x://a.org/fr/\ny", "http://h.com://b/c", "ü://ü.net/ß"]
+    rows = [(r[0], r[1]) for r in pages.collect()] + [(1000 + i, u) for i, u in enumerate(odd)]
+    got = by_id(urls.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string")), "page_id")
+    known = [(u or "", (plain_rule(*plain_host_path(u)) or (None, None))[1]) for _, u in rows]
+    scores = plain_scores(known)
+    held = {v: [scores[u] for u, d in known if d == v and zlib.crc32(u.encode()) % 5 == 0] for v in ("allow", "block")}
+    a, b = held["allow"], held["block"]
+    bound = (np.mean(a) * np.std(b) + np.mean(b) * np.std(a)) / (np.std(a) + np.std(b))
+    for page_id, url in rows:
+        row, (host, path) = got[page_id], plain_host_path(url)
+        rule = plain_rule(host, path)
+        assert (row["host"], row["path"], row["rule"]) == (host, path, rule[0] if rule else None)
+        assert abs(row["score"] - scores[url or ""]) < 1e-8
+        if rule or abs(row["score"] - bound) > 1e-7:
+            assert row["verdict"] == (rule[1] if rule else "block" if row["score"] < bound else "allow")
+    none = urls.judge_urls(spark.createDataFrame([], "page_id bigint, url string, html string, code int"))
+    assert none.count() == 0
+    plain = urls.judge_urls(spark.createDataFrame([(1, "http://a.b/c")] * 2, "page_id bigint, url string"))
+    assert [r["verdict"] for r in plain.collect()] == ["allow"] * 2
+
+
+# --- mixing ------------------------------------------------------------------------------
+
+
+def test_mixture_meets_its_limits(spark, awkward, nothing):
+    rows = [(i, "w " * (1 + i % 7), "big" if i % 3 else f"s{i % 4}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    got = mixing.mix(docs, budget_share=1.0, max_repeats=2.0).collect()
+    taken = Counter()
+    for r in got:
+        taken[r.source] += r.tokens
+    assert all(taken[s] <= 2 * n for s, n in sizes.items()) and sum(taken.values()) <= sum(sizes.values())
+    assert taken["big"] / sum(taken.values()) < sizes["big"] / sum(sizes.values())
+    for source in sizes:
+        at = 0
+        for r in sorted((r for r in got if r.source == source), key=lambda r: r.position):
+            assert r.position >= at
+            at = r.position + r.tokens
+    epochs = Counter((r.source, r.epoch, r.row.doc_id) for r in got)
+    assert max(epochs.values()) == 1
+    flat = mixing.mix(docs, budget_share=0.3, max_repeats=None, target_entropy=0.95)
+    shares = np.array([r[1] for r in flat.groupBy("source").agg(mixing.F.sum("tokens")).collect()], float)
+    shares /= shares.sum()
+    assert abs(-(shares * np.log(shares)).sum() / np.log(len(sizes)) - 0.95) < 0.03
+    assert mixing.mix(nothing).count() == 0
+    mixed = mixing.mixed_documents(awkward, max_repeats=1.0)
+    assert mixed.columns == awkward.columns and mixed.count() == awkward.count()
+
+
+# --- near-duplicates ---------------------------------------------------------------------
+
+
+def plain_groups(texts):
+    lower = str.maketrans(urls.UPPER, urls.LOWER)
+    sets = {}
+    for d, t in texts.items():
+        w = WORD.findall((t or "").translate(lower))
+        sets[d] = {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    where = defaultdict(list)
+    for d, s in sets.items():
+        for x in s:
+            where[x].append(d)
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for d in sorted(sets):
+        for y, n in Counter(y for x in sets[d] for y in where[x] if y > d).items():
+            if 100 * n >= 85 * (len(sets[d]) + len(sets[y]) - n):
+                a, b = sorted((find(d), find(y)))
+                parent[b] = a
+    return {d: (d, len(s), find(d), find(d) == d) for d, s in sets.items()}
+
+
+def test_near_duplicates_match_all_pairs(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    want = plain_groups({r[0]: r[1] for r in docs.select("doc_id", "text").collect()})
+    got = {r[0]: tuple(r) for r in queries.op10_near_duplicates(spark, "/root/testdata/sf0.01").collect()}
+    assert got == want and any(not r[3] for r in want.values())
+
+
+def test_chains_of_copies_in_large_keys(spark, monkeypatch):
+    """A chain whose ends are not similar, cut into many blocks; and copies of one text."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(300)]
+    texts = {}
+    for i in range(120):
+        texts[i] = " ".join(words)
+        words[int(rng.integers(0, 300))] = f"x{i}"
+    texts |= {1000 + i: "one text that is copied many times over" for i in range(50)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    monkeypatch.setattr(near_dup, "BLOCK", 7)
+    assert {r[0]: tuple(r) for r in near_dup.near_duplicates(docs).collect()} == plain_groups(texts)
+
+
+def test_near_duplicates_of_awkward_rows(spark, awkward, nothing):
+    rows = near_dup.near_duplicates(awkward).collect()
+    assert len(rows) == awkward.count()
+    got = {r.doc_id: r for r in rows}
+    assert [tuple(got[i]) for i in (0, 1, 2)] == [(i, 0, i, True) for i in (0, 1, 2)]
+    assert tuple(got[12]) == (12, 10, 11, False) and got[None].component_id is None and got[None].kept
+    left = near_dup.drop_near_duplicates(awkward)
+    assert left.columns == awkward.columns and left.count() == len({r.component_id for r in rows if r.doc_id is not None}) + 1
+    assert near_dup.near_duplicates(nothing).count() == 0
+
+
+def test_close_signatures_share_a_key(spark):
+    """Whatever 13 of the 42 symbols differ, a key is shared."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(300):
+        a = rng.integers(0, 256, near_dup.SYMBOLS, dtype=np.uint8)
+        b = a.copy()
+        b[rng.permutation(42)[:13]] ^= 1
+        rows.append((i, bytearray(a.tobytes()), bytearray(b.tobytes())))
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+    df = spark.createDataFrame(rows, schema)
+    shared = df.filter(near_dup.F.arrays_overlap(near_dup.chunk_keys("a"), near_dup.chunk_keys("b")))
+    assert shared.count() == 300
