@@ -96,7 +96,8 @@ def mix(
     exponent = find_exponent(sources, total, budget, max_repeats, target_entropy) if total else 1.0
     power = F.pow(F.col("tokens") / F.lit(max(total, 1)), F.lit(exponent))
     z = sources.agg(F.sum(power)).first()[0] or 1.0
-    quota = F.floor(F.round(power / F.lit(z), 12) * F.lit(budget)).cast("bigint")
+    # Float noise must not cost a source whose quota is a whole epoch its last document.
+    quota = F.floor(F.round(power / F.lit(z), 12) * F.lit(budget) + F.lit(1e-6)).cast("bigint")
     quotas = sources.select("source", "tokens", quota.alias("quota")).select(
         "source",
         "quota",
@@ -165,7 +166,7 @@ bisect AS (
 ), chosen AS (SELECT high AS a FROM bisect ORDER BY step DESC LIMIT 1),
 powers AS (SELECT source, tokens AS source_tokens, total, pow(tokens / total, a) AS power FROM sources, whole, chosen),
 quotas AS (
-  SELECT source, source_tokens, floor(round(power / (SELECT sum(power) FROM powers), 12) * total)::BIGINT AS quota,
+  SELECT source, source_tokens, floor(round(power / (SELECT sum(power) FROM powers), 12) * total + 1e-6)::BIGINT AS quota,
          greatest(1, CAST(ceil(total / {BLOCK_TOKENS}) AS BIGINT)) AS blocks
   FROM powers
 ), copies AS (
