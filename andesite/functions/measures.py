@@ -5,25 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-# Texts of JSON values that count as no number at all.
-EMPTY_TEXTS = ("", "false", "[]", "{}")
+# What counts as the text of a number: decimal digits with single underscores between them, or a
+# name of infinity or not-a-number; blanks around it are allowed.
+DIGITS = r"[0-9](?:_?[0-9])*"
+FINITE = rf"[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?"
+INFINITE = r"[+-]?(?i:inf|infinity)"
+NOT_A_NUMBER = r"[+-]?(?i:nan)"
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _whole(pattern: str) -> str:
+    return rf"^\s*(?:{pattern})\s*$"
+
+
+def text_to_number(c: str | Column) -> Column:
+    """Double of a text that is written as a number; null for any other text."""
+    text = _col(c)
+    return F.when(text.rlike(_whole(NOT_A_NUMBER)), F.lit(float("nan"))).when(
+        text.rlike(_whole(f"{FINITE}|{INFINITE}")), F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("double")
+    )
+
+
 def num_or_zero(c: str | Column) -> Column:
-    """Number as double; 0.0 for null and for the texts of empty JSON values.
+    """Number of a text as double; 0.0 for null and for the empty text.
 
-    Any other text that is no number stays null; ``is_bad_number`` finds it.
+    Any other text that is not written as a number is null; ``is_bad_number`` finds it.
+    """
+    text = _col(c)
+    return F.when(text.isNull() | (text == ""), F.lit(0.0)).otherwise(text_to_number(text))
+
+
+def json_num_or_zero(c: str | Column) -> Column:
+    """Number of a JSON value as double, by the kind of the value.
+
+    Absent and JSON null, the empty text, ``false``, ``[]`` and ``{}`` are 0.0, and ``true`` is 1.0;
+    a text counts as in ``num_or_zero``, and any other list or object is null.
     """
     v = _col(c)
-    text = v.cast("string")
+    kind = F.schema_of_variant(v)
+    text = F.try_variant_get(v, "$", "string")
     return (
-        F.when(v.isNull() | text.isin(*EMPTY_TEXTS), F.lit(0.0))
-        .when(text == "true", F.lit(1.0))
-        .otherwise(v.try_cast("double"))
+        F.when(v.isNull() | F.is_variant_null(v), F.lit(0.0))
+        .when(kind == "STRING", num_or_zero(text))
+        .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double"))
+        .when(text.isin("[]", "{}"), F.lit(0.0))
+        .otherwise(F.try_variant_get(v, "$", "double"))
     )
 
 
@@ -32,6 +61,11 @@ def is_bad_number(c: str | Column) -> Column:
     return num_or_zero(c).isNull()
 
 
+def is_bad_json_number(c: str | Column) -> Column:
+    """True for a JSON value that is neither a number nor empty."""
+    return json_num_or_zero(c).isNull()
+
+
 def to_millions(c: str | Column) -> Column:
     return F.round(_col(c) / 1000000, 2)
 

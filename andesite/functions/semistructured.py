@@ -12,15 +12,18 @@ def _col(c: str | Column) -> Column:
 def with_json(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add the JSON document that a text holds, null unless it holds exactly one.
 
-    Spark's parser stops after the first document and would drop what follows it.  Inside
-    brackets, anything after it is either a second element or an error.
+    Spark's parser stops after the first document and would drop what follows it.  The text is
+    therefore read as the first of two elements, the second being a number computed from the
+    text: a text that closes the list early, or goes on after its document, has another second
+    element or a third.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit("]")))
-    only = F.when(
-        F.try_variant_get("_listed", "$[1]", "variant").isNull(),
-        F.try_variant_get("_listed", "$[0]", "variant"),
-    )
-    return df.withColumn("_listed", listed).withColumn(out, only).drop("_listed")
+    mark = F.xxhash64(text)
+    pair = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(","), mark.cast("string"), F.lit("]")))
+    alone = (F.try_variant_get("_pair", "$[1]", "bigint") == mark) & F.try_variant_get(
+        "_pair", "$[2]", "variant"
+    ).isNull()
+    only = F.when(alone, F.try_variant_get("_pair", "$[0]", "variant"))
+    return df.withColumn("_pair", pair).withColumn(out, only).drop("_pair")
 
 
 def field(v: str | Column, path: str, type_: str = "string") -> Column:

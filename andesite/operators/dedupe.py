@@ -54,14 +54,26 @@ def upsert(
 ) -> DataFrame:
     """Rows of ``existing`` replaced or extended by ``incoming``, matching on ``keys``.
 
-    Among incoming rows of the same key the last in ``order_by`` wins.  ``existing`` is taken
-    to be unique per key already and is only anti-joined: when the incoming keys are small
-    enough Spark broadcasts them and the existing rows are not shuffled at all.  Null keys
-    match each other.
+    Among incoming rows of the same key the last in ``order_by`` wins.  Both sides are read
+    once, in a single aggregation.  Null keys match each other.
     """
-    winners = latest(incoming, keys, order_by)
-    touched = winners.select(*[F.col(k).alias(f"_in_{k}") for k in keys])
+    tagged = existing.withColumn("_new", F.lit(False)).unionByName(incoming.withColumn("_new", F.lit(True)))
+    return latest(tagged, keys, ["_new", *order_by]).drop("_new")
+
+
+def same_values(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
+    """Condition of a join in which nulls match each other; ``right`` has the columns as ``_in_*``."""
     same = F.lit(True)
-    for k in keys:
-        same = same & existing[k].eqNullSafe(F.col(f"_in_{k}"))
-    return existing.join(touched, same, "left_anti").unionByName(winners)
+    for c in cols:
+        same = same & left[c].eqNullSafe(right[f"_in_{c}"])
+    return same
+
+
+def merge(existing: DataFrame, winners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Like ``upsert`` for ``winners`` that are stored and unique per key already.
+
+    ``existing`` is only anti-joined: while the incoming keys are small Spark broadcasts them and
+    the existing rows are not shuffled.
+    """
+    touched = winners.select(*[F.col(k).alias(f"_in_{k}") for k in keys])
+    return existing.join(touched, same_values(existing, touched, keys), "left_anti").unionByName(winners)

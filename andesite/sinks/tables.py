@@ -7,20 +7,17 @@ import logging
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from andesite.operators.dedupe import upsert
+from andesite.operators.dedupe import latest, merge, same_values
 
 log = logging.getLogger(__name__)
 
 # What a failed job or command raises.
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
-# Above this many touched partitions an upsert finds them by a join instead of by value.
-MAX_LISTED_PARTITIONS = 1000
 
 
 def snapshot_parquet(
@@ -77,16 +74,16 @@ def overwrite_table(df: DataFrame, table: str) -> None:
         rows.write.insertInto(table, overwrite=True)
 
 
-def overwrite_if_nonempty(df: DataFrame, table: str) -> bool:
-    """Replace a table's content unless the frame is empty; tells whether it did."""
-    kept = df.persist()
-    try:
+def overwrite_if_nonempty(df: DataFrame, table: str, staging: str | None = None) -> bool:
+    """Replace a table's content unless the frame is empty; tells whether it did.
+
+    The frame is computed once, into the shared folder, and tested and written from there.
+    """
+    with staged(df, staging) as kept:
         if kept.isEmpty():
             return False
         overwrite_table(kept, table)
         return True
-    finally:
-        kept.unpersist()
 
 
 def staging_path(spark: SparkSession, folder: str | None = None) -> str:
@@ -94,7 +91,7 @@ def staging_path(spark: SparkSession, folder: str | None = None) -> str:
     base = folder or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/upsert-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/staged-{uuid.uuid4().hex}"
 
 
 def _discard(spark: SparkSession, path: str) -> None:
@@ -103,21 +100,56 @@ def _discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _touched(incoming: DataFrame, existing: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The rows of ``existing`` in partitions that ``incoming`` has rows for.
+@contextmanager
+def staged(df: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
+    """The frame, written once to the shared folder and read from there.
 
-    The distinct partition values of a batch are few, so they are listed and turned into a
-    filter that prunes partitions.  When they are not few, a semi join does the same work.
+    A lost executor costs a read, not the work behind the frame.  The rows are deleted after
+    success; after a failure they are kept, and the log names their path.
     """
-    values = incoming.select(*partitions).distinct()
-    listed = values.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return existing.join(values, list(partitions), "left_semi")
-    tests = [
-        reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in partitions])
-        for row in listed
-    ]
-    return existing.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
+    spark = df.sparkSession
+    path = staging_path(spark, folder)
+    schema = df.schema
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(schema).parquet(path)
+    except SPARK_ERRORS:
+        log.error("a write failed; its staged rows are kept at %s", path)
+        raise
+    _discard(spark, path)
+
+
+def _conformed(df: DataFrame, table: str, partitions: Sequence[str]) -> DataFrame:
+    """The rows as the table will hold them: its columns and types, and partition values as stored.
+
+    An empty text in a partition column is stored as the null partition, so it is null here.
+    """
+    columns = []
+    for f in df.sparkSession.table(table).schema:
+        value = F.col(f.name).cast(f.dataType)
+        if f.name in partitions and f.dataType.typeName() == "string":
+            value = F.nullif(value, F.lit(""))
+        columns.append(value.alias(f.name))
+    return df.select(*columns)
+
+
+def _touched(winners: DataFrame, existing: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The rows of ``existing`` in partitions that ``winners`` has rows for.
+
+    Partitions without nulls are matched by equality, which lets Spark prune them; the few with
+    a null in them are matched so that nulls equal each other.
+    """
+    values = winners.select(*[F.col(p).alias(f"_in_{p}") for p in partitions]).distinct()
+    has_null = F.lit(False)
+    for p in partitions:
+        has_null = has_null | F.col(p).isNull()
+    whole, partly = existing.filter(~has_null), existing.filter(has_null)
+    equal = F.lit(True)
+    for p in partitions:
+        equal = equal & (whole[p] == values[f"_in_{p}"])
+    return whole.join(values, equal, "left_semi").unionByName(
+        partly.join(values, same_values(partly, values, partitions), "left_semi")
+    )
 
 
 def upsert_by_key(
@@ -131,27 +163,20 @@ def upsert_by_key(
     """Write documents over the ones of equal key, add the others.
 
     Only table partitions that the batch touches are read and rewritten; the partition columns
-    must be among ``keys``.  The merged rows are first written to the shared checkpoint folder
-    and read back from there, so the table is never overwritten while it is being read and a
-    lost executor costs nothing that was merged.  They are deleted after success only.
+    must be among ``keys``.  The batch is reduced to one row per key once, into the shared
+    folder, and serves from there to find partitions, to match and to add.  The merged rows are
+    staged too, so the table is never overwritten while it is being read.
     """
     partitions = _partition_columns(spark, table)
     if not set(partitions) <= set(keys):
         raise ValueError(f"partition columns {partitions} of {table} must be among {list(keys)}")
-    incoming = _in_table_order(df, table)
-    existing = spark.table(table)
-    if partitions:
-        existing = _touched(incoming, existing, partitions)
-    path = staging_path(spark, staging)
-    upsert(existing, incoming, keys, order_by).write.parquet(path)
-    merged = spark.read.schema(spark.table(table).schema).parquet(path)
-    try:
-        with _overwriting(spark, "dynamic"):
-            _spread(merged, partitions).write.insertInto(table, overwrite=True)
-    except SPARK_ERRORS:
-        log.error("upsert into %s failed; its merged rows are kept at %s", table, path)
-        raise
-    _discard(spark, path)
+    with staged(latest(_conformed(df, table, partitions), keys, order_by), staging) as winners:
+        existing = spark.table(table)
+        if partitions:
+            existing = _touched(winners, existing, partitions)
+        with staged(merge(existing, winners, keys), staging) as merged:
+            with _overwriting(spark, "dynamic"):
+                _spread(merged, partitions).write.insertInto(table, overwrite=True)
 
 
 def jdbc_overwrite(df: DataFrame, jdbc: Mapping[str, str]) -> None:

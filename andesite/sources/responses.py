@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from andesite.functions.measures import is_bad_number
+from andesite.functions.measures import is_bad_json_number
 from andesite.functions.semistructured import (
     computed_once,
     field,
@@ -26,7 +26,7 @@ MALFORMED = "malformed json"
 # Fields read from the rows of annual and trade responses.
 META_FIELDS = "date string, value string, unit string, country struct<value: string>"
 DATA_FIELDS = (
-    "partnerCode string, cmdCode string, cmdDescE string, primaryValue string, netWgt string"
+    "partnerCode string, cmdCode string, cmdDescE string, primaryValue variant, netWgt variant"
 )
 NOT_AN_OBJECT = "row is not an object"
 NO_RESPONSE_OBJECT = "response is not an object"
@@ -159,7 +159,8 @@ def parse_meta_rows(raw: DataFrame) -> DataFrame:
 def parse_data_rows(raw: DataFrame) -> DataFrame:
     """Flatten ``{data: [...]}`` to (keys, item, fields).
 
-    ``item`` is the whole row; ``fields`` has partner, product, value and weight as text.  A
+    ``item`` is the whole row; ``fields`` has partner and product as text, value and weight
+    as JSON values.  A
     response without ``data`` has no rows.  A row whose value or weight is present but no
     number is rejected.
     """
@@ -168,7 +169,7 @@ def parse_data_rows(raw: DataFrame) -> DataFrame:
     read = _read_fields(rows, keys, DATA_FIELDS)
     unread = F.when(F.col("item").isNotNull() & F.col("fields").isNull(), F.lit(NOT_AN_OBJECT))
     for name in ("primaryValue", "netWgt"):
-        unread = unread.when(is_bad_number(f"fields.{name}"), F.lit(f"{name} is not a number"))
+        unread = unread.when(is_bad_json_number(f"fields.{name}"), F.lit(f"{name} is not a number"))
     return _reject(read, unread)
 
 

@@ -53,12 +53,13 @@ def test_overwrite_matches_columns_by_name(spark, rows, layer, tmp_path):
         tables.overwrite_table(spark.createDataFrame([("y",)], "b string"), t)
 
 
-def test_empty_frame_leaves_the_table_alone(spark, rows, layer):
+def test_empty_frame_leaves_the_table_alone(spark, rows, layer, tmp_path):
     t = f"{layer}.t"
     catalog.ensure_table(spark, t, "a int")
     df = spark.createDataFrame([(1,)], "a int")
-    assert tables.overwrite_if_nonempty(df, t)
-    assert not tables.overwrite_if_nonempty(df.filter("a > 5"), t)
+    assert tables.overwrite_if_nonempty(df, t, str(tmp_path))
+    assert not tables.overwrite_if_nonempty(df.filter("a > 5"), t, str(tmp_path))
+    assert list(tmp_path.iterdir()) == []
     assert rows(spark.table(t)) == [(1,)]
 
 
@@ -86,15 +87,32 @@ def test_upsert_by_key(spark, rows, layer, tmp_path, partition_by):
     assert list(tmp_path.iterdir()) == []  # nothing stays staged
 
 
-def test_upsert_with_many_touched_partitions_uses_a_join(spark, rows, layer, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1)
+@pytest.mark.parametrize("touched", [1, 1200])
+def test_upsert_keeps_rows_of_null_and_empty_partitions(spark, rows, layer, tmp_path, touched):
+    """An empty partition text is stored as null; neither may cost the rows that lie there."""
     t = f"{layer}.docs"
     catalog.ensure_table(spark, t, DOCUMENTS, partition_by=["category"])
-    first = spark.createDataFrame([(c, "1", "t1", 1) for c in "abc"], DOCUMENTS)
-    second = spark.createDataFrame([(c, "1", "t2", 2) for c in "ab"], DOCUMENTS)
-    tables.upsert_by_key(spark, first, t, staging=str(tmp_path))
-    tables.upsert_by_key(spark, second, t, staging=str(tmp_path))
-    assert rows(spark.table(t), "category", "v") == [("a", 2), ("b", 2), ("c", 1)]
+    many = [(f"c{i}", "1", "t1", 1) for i in range(touched - 1)]
+    first = [(None, "1", "t1", 1), ("", "2", "t1", 1), ("a", "1", "t1", 1), ("z", "1", "t1", 1), *many[:3]]
+    second = [("", "3", "t2", 2), (None, "1", "t2", 2), (None, "1", "t1", 9), ("a", "2", "t2", 2), *many]
+    for batch in (first, second, second):
+        frame = spark.createDataFrame(batch, DOCUMENTS).withColumn("v", F.col("v").cast("bigint"))
+        tables.upsert_by_key(spark, frame, t, staging=str(tmp_path))
+    got = rows(spark.table(t).filter("category IS NULL OR length(category) = 1"), "category", "id", "v")
+    assert got == sorted([(None, "1", 2), (None, "2", 1), (None, "3", 2), ("a", "1", 1), ("a", "2", 2), ("z", "1", 1)],
+                         key=repr)
+    assert spark.table(t).count() == 6 + max(3 if touched > 3 else 0, touched - 1)
+
+
+def test_upsert_over_two_partition_columns_with_nulls(spark, rows, layer, tmp_path):
+    t = f"{layer}.docs"
+    ddl = "year int, category string, id string, ingestion_timestamp string"
+    catalog.ensure_table(spark, t, ddl, partition_by=["year", "category"])
+    first = [(y, c, "1", "t1") for y in (None, 2020) for c in (None, "a")]
+    second = [(None, "a", "2", "t2"), (2020, None, "2", "t2")]
+    for batch in (first, second):
+        tables.upsert_by_key(spark, spark.createDataFrame(batch, ddl), t, ["year", "category", "id"], staging=str(tmp_path))
+    assert rows(spark.table(t), *names(ddl)) == sorted(first + second, key=repr)
 
 
 def test_upsert_refuses_partitions_outside_the_key(spark, layer):
@@ -105,10 +123,10 @@ def test_upsert_refuses_partitions_outside_the_key(spark, layer):
 
 
 def test_staging_lies_in_the_shared_folder_of_the_session(spark, tmp_path):
-    assert tables.staging_path(spark, str(tmp_path)).startswith(f"{tmp_path}/upsert-")
+    assert tables.staging_path(spark, str(tmp_path)).startswith(f"{tmp_path}/staged-")
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        assert tables.staging_path(spark).startswith(shared.rstrip("/") + "/upsert-")
+        assert tables.staging_path(spark).startswith(shared.rstrip("/") + "/staged-")
     else:
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             tables.staging_path(spark)
