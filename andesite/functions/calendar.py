@@ -54,6 +54,21 @@ def month_start(year: str | Column, month: str | Column) -> Column:
     return F.when(y.between(1000, 9999), F.make_date(y, _col(month), F.lit(1)))
 
 
+def label_date(c: str | Column) -> Column:
+    """Day of a label: ``02.May.20``, ``15.Jun.2020``, or the first of ``May.2020``.
+
+    The day is a leading number of at most two digits, the year the first run of four digits or
+    else a trailing one of two (of this century).  Null without a known month or a valid date.
+    """
+    label = F.trim(_col(c))
+    short = F.concat(F.lit("20"), F.regexp_extract(label, r"\D(\d{2})$", 1)).try_cast("int")
+    year = F.coalesce(period_year(label), F.when(short >= 2000, short))
+    day = F.coalesce(F.regexp_extract(label, r"^(\d{1,2})\D", 1).try_cast("int"), F.lit(1))
+    parts = [F.format_string("%04d", year), F.format_string("%02d", _matched_month(label)), F.format_string("%02d", day)]
+    known = year.isNotNull() & _matched_month(label).isNotNull()
+    return F.when(known, F.concat_ws("-", *parts).try_cast("date"))
+
+
 def year_start(year: str | Column) -> Column:
     """January 1 of a year; null for a null year or one that no date can hold."""
     return F.concat(_col(year).cast("string"), F.lit("-01-01")).try_cast("date")

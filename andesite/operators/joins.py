@@ -62,17 +62,29 @@ def clip_to_window(
     Daily series run from ``first`` to ``run_date``; all others cover whole months, from the
     month of ``first`` to the month of ``run_date``.
     """
-    day = F.col(date)
+    freqs = registry.select(on, "freq")
+    return df.join(freqs, on, "inner").filter(in_window(run_date, first, date)).drop("freq")
+
+
+def in_window(
+    run_date: dt.date, first: dt.date = dt.date(SERIES_FIRST_YEAR, 1, 1), date: str | Column = "date"
+) -> Column:
+    """Whether a date lies in the extraction window of the row's ``freq``."""
+    day = F.col(date) if isinstance(date, str) else date
     lo, hi = F.lit(first), F.lit(run_date)
     monthly = day.between(F.trunc(lo, "month"), F.last_day(hi))
-    inside = F.when(F.col("freq") == "daily", day.between(lo, hi)).otherwise(monthly)
-    freqs = registry.select(on, "freq")
-    return df.join(freqs, on, "inner").filter(inside).drop("freq")
+    return F.when(F.col("freq") == "daily", day.between(lo, hi)).otherwise(monthly)
 
 
 def clip_years(df: DataFrame, years: tuple[int, int], year: str = "year") -> DataFrame:
     """Keep rows of the requested years, both included."""
-    return df.filter(F.col(year).try_cast("int").between(*years))
+    return df.filter(in_years(years, year))
+
+
+def in_years(years: tuple[int, int], year: str | Column = "year") -> Column:
+    """Whether a year is one of the requested ones, both included."""
+    value = F.col(year) if isinstance(year, str) else year
+    return value.try_cast("int").between(*years)
 
 
 def fk_orphans(fact: DataFrame, dim: DataFrame, on: str, key: str | None = None) -> DataFrame:

@@ -55,37 +55,44 @@ def length_violations(df: DataFrame, spec: Mapping[str, int]) -> DataFrame:
     return _per_column(df, {c: F.length(c) > n for c, n in spec.items()}, "n_too_long")
 
 
+def _row_checks(table: str) -> dict[tuple[str, str], Column]:
+    """The declared tests of single rows of a table, by check and column; true where broken."""
+    tests = {("not null", c): F.col(c).isNull() for c in schemas.NOT_NULL.get(table, ())}
+    for c, (p, s) in schemas.DECIMALS.get(table, {}).items():
+        tests["decimal", c] = F.col(c).isNotNull() & F.col(c).try_cast(f"decimal({p},{s})").isNull()
+    for c, n in schemas.TEXT_LENGTHS.get(table, {}).items():
+        tests["length", c] = F.length(c) > n
+    return tests
+
+
 def check_star(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All declared constraints of a star schema that its tables break.
 
-    One line per table, check and column, with the number of keys (primary key) or rows.  Every
-    check reads its table once; pass stored tables, or persist what is costly to compute.
+    One line per table, check and column, with the number of keys (primary key) or rows.  A table
+    is read once for its primary key and all tests of rows together, and once more for each
+    foreign key from or to it; facts are counted per key before they meet a dimension.
     """
     reports = []
-
-    def add(table: str, check: str, report: DataFrame, count: str) -> None:
-        tags = [F.lit(table).alias("table_name"), F.lit(check).alias("check")]
-        reports.append(report.select(*tags, "column_name", F.col(count).alias("n_rows")))
-
-    def total(rows: DataFrame, column: str, count: Column) -> DataFrame:
-        found = rows.agg(count.alias("n")).filter(F.col("n") > 0)
-        return found.withColumn("column_name", F.lit(column))
-
     for table, df in tables.items():
-        if table in schemas.PRIMARY_KEYS:
-            keys = schemas.PRIMARY_KEYS[table]
-            doubled = total(pk_violations(df, keys), ", ".join(keys), F.count("*"))
-            add(table, "primary key", doubled, "n")
+        tests, keys = _row_checks(table), schemas.PRIMARY_KEYS.get(table)
+        counts = [F.count_if(test).alias(f"n{i}") for i, test in enumerate(tests.values())]
+        totals = {name: F.sum(f"n{i}") for i, name in enumerate(tests)}
+        if keys:
+            totals["primary key", ", ".join(keys)] = F.count_if(F.col("_rows") > 1)
+        if totals:
+            by_key = df.groupBy(*keys or ()).agg(F.count("*").alias("_rows"), *counts)
+            lines = F.explode(F.array(*[
+                F.struct(F.lit(check).alias("check"), F.lit(column).alias("column_name"), F.col(f"t{i}").alias("n_rows"))
+                for i, (check, column) in enumerate(totals)
+            ])).alias("line")
+            whole = by_key.agg(*[total.alias(f"t{i}") for i, total in enumerate(totals.values())])
+            reports.append(whole.select(F.lit(table).alias("table_name"), lines).select("table_name", "line.*"))
         for column, dim in schemas.FOREIGN_KEYS.get(table, {}).items():
-            orphans = total(fk_orphans(df, tables[dim], column), column, F.sum("n_rows"))
-            add(table, "foreign key", orphans, "n")
-        if table in schemas.NOT_NULL:
-            add(table, "not null", null_violations(df, schemas.NOT_NULL[table]), "n_nulls")
-        if table in schemas.DECIMALS:
-            add(table, "decimal", serving_overflows(df, schemas.DECIMALS[table]), "n_overflows")
-        if table in schemas.TEXT_LENGTHS:
-            add(table, "length", length_violations(df, schemas.TEXT_LENGTHS[table]), "n_too_long")
-    return unify(*reports)
+            orphans = fk_orphans(df, tables[dim], column).agg(F.sum("n_rows").alias("n_rows"))
+            reports.append(orphans.select(
+                F.lit(table).alias("table_name"), F.lit("foreign key").alias("check"),
+                F.lit(column).alias("column_name"), "n_rows"))
+    return unify(*reports).filter("n_rows > 0")
 
 
 def registry_check(registry: DataFrame, expected: DataFrame, key: str = "id") -> DataFrame:

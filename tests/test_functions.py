@@ -103,6 +103,9 @@ def test_yearly_change(spark, prev, value, absolute, signed):
 def test_numbers_and_millions(spark):
     assert values(spark, "v string", ["", None, "12.5", " 7 ", "abc", "0"], measures.num_or_zero("v")) == [
         0.0, 0.0, 12.5, 7.0, None, 0.0]
+    odd = ["1d", "true", "1f", "0x1", "1__0", ".", "1_0.5_0", "+.5e-1", "5.", "-inf", "Infinity", "1e400", "[]"]
+    assert values(spark, "v string", odd, measures.num_or_zero("v")) == [
+        None, None, None, None, None, None, 10.5, 0.05, 5.0, float("-inf"), float("inf"), float("inf"), None]
     assert values(spark, "v string", ["", None, "abc", "1"], measures.is_bad_number("v")) == [
         False, False, True, False]
     assert values(spark, "v double", [1500000.5, 4999.0, 5000.0, None], measures.to_millions("v")) == [
@@ -119,10 +122,11 @@ def test_absent_and_null_fields(spark):
 
     assert read(js.field_or("v", "$.a", "?")) == ["x", "?", "?", "3", '{"b":1}']
     assert read(js.field_or("v", "$.a", "?", null_text="None")) == ["x", "None", "?", "3", '{"b":1}']
-    assert read(measures.num_or_zero(js.field("v", "$.a"))) == [None, 0.0, 0.0, 3.0, None]
+    assert read(measures.json_num_or_zero(F.try_variant_get("v", "$.a", "variant"))) == [None, 0.0, 0.0, 3.0, None]
     assert read(js.computed_once(js.field("v", "$.a"))) == read(js.field("v", "$.a"))
     assert read(js.holds_other("v", "$.a")) == [True, False, False, True, True]
-    flags = '{"a":true,"b":false,"c":"","d":"12.5","e":[]}'
+    flags = '{"a":true,"b":false,"c":"","d":"12.5","e":[],"f":"true","g":"[]","h":[0]}'
     one = spark.createDataFrame([(flags,)], "t string").select(F.parse_json("t").alias("v"))
-    got = one.select(*[measures.num_or_zero(js.field("v", f"$.{k}")) for k in "abcde"]).first()
-    assert tuple(got) == (1.0, 0.0, 0.0, 12.5, 0.0)
+    values = [F.try_variant_get("v", f"$.{k}", "variant") for k in "abcdefgh"]
+    got = one.select(*map(measures.json_num_or_zero, values)).first()
+    assert tuple(got) == (1.0, 0.0, 0.0, 12.5, 0.0, None, None, None)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import datetime as dt
 import random
 
@@ -132,18 +134,20 @@ def test_summaries(spark):
     series = spark.createDataFrame(
         [("c", "s", "Sep.2020"), ("c", "s", "Ene.2023"), ("b", "t", None)],
         "category string, series_name string, period string")
-    assert [tuple(r) for r in summaries.summarize_series(series).collect()] == [
+    assert [tuple(r) for r in summaries.summarize(series, summaries.SERIES).collect()] == [
         ("b", "t", 1, None), ("c", "s", 2, "Sep.2020")]
     trade = spark.createDataFrame(
         [("X", "p", "2019", 1.5, 0.1, 2019), ("X", "p", "2018", 2.25, 0.2, 2018), ("M", "p", "2020", 4.0, 0.3, 2020)],
         "flow_desc string, partner string, year string, trade_value double, trade_value_millions double, y int")
     raw = [("M", "p", 1, 4.0, "2020", "2020"), ("X", "p", 2, 3.75, "2018", "2019")]
-    assert [tuple(r) for r in summaries.summarize_trade_raw(trade).collect()] == raw
-    assert [tuple(r) for r in summaries.summarize_trade_raw(trade, scale=2).collect()] == raw
+    assert [tuple(r) for r in summaries.summarize(trade, summaries.RAW_TRADE).collect()] == raw
+    assert [tuple(r) for r in summaries.summarize(trade, replace(summaries.RAW_TRADE, scale=2)).collect()] == raw
     typed = trade.drop("year").withColumnRenamed("y", "year")
-    assert [tuple(r) for r in summaries.summarize_trade(typed).collect()] == [
+    assert [tuple(r) for r in summaries.summarize(typed, summaries.TRADE).collect()] == [
         ("M", "p", 1, 0.3, 2020, 2020), ("X", "p", 2, 0.3, 2018, 2019)]
     assert summaries.row_count(trade).first()[0] == 3
+    odd = trade.withColumn("trade_value_millions", F.expr("CASE year WHEN '2019' THEN DOUBLE('inf') WHEN '2020' THEN 1e30D ELSE 0.2D END"))
+    assert [r[3] for r in summaries.summarize(odd, replace(summaries.TRADE, extremes={})).collect()] == [1e30, float("inf")]
 
 
 def test_constraint_reports(spark, rows):

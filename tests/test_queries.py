@@ -99,6 +99,17 @@ def test_small_dimensions_are_broadcast_and_large_ones_are_not(spark, capsys):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_constraints_read_the_facts_once_and_once_more_per_foreign_key(spark, capsys):
+    """Each evaluation of the trade facts scans lineitem once."""
+    plan = plan_of(QUERIES["star_constraints"](spark, SF_DIR), capsys)
+    assert plan.count("l_extendedprice") and len(re.findall(r"FileScan parquet \[l_", plan)) <= 3
+
+
+def test_upsert_reads_each_side_once(spark, capsys):
+    plan = plan_of(QUERIES["keyed_upsert"](spark, SF_DIR), capsys)
+    assert plan.count("FileScan") == 2
+
+
 def test_filters_on_stored_columns_reach_the_scan(spark, capsys):
     plan = plan_of(QUERIES["positive_values"](spark, SF_DIR), capsys)
     assert re.search(r"PushedFilters: \[.*GreaterThan\(c_acctbal,0.0\)", plan)

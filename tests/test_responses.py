@@ -10,6 +10,10 @@ from andesite.functions.semistructured import field
 from andesite.sources import responses as res
 
 
+# What may not follow a document.
+TAILS = ("]", "],[", "]]", "}", "]garbage", "],[{}", " more", ",", ",0]", "]}")
+
+
 def frame(spark, *pairs):
     return res.responses_from(spark.createDataFrame(list(pairs), "id string, response string"))
 
@@ -29,6 +33,7 @@ def test_period_series(spark, rows):
         ("j", '{"periods":[]}{"periods":[]}'),
         ("k", '{"periods":[]},{"periods":[]}'),
         ("l", ' {"periods":[]} '),
+        *[(f"t{i}", '{"periods":[]}' + tail) for i, tail in enumerate(TAILS)],
         ("g", '{"periods":[{"values":["1"]},{"name":"Feb.2020","values":["2"]},{"name":"x","values":3}]}'),
     ))
     good, bad = res.read_isolated(parsed)
@@ -38,7 +43,7 @@ def test_period_series(spark, rows):
     assert rows(bad, "id", "error") == sorted([
         ("e", "malformed json"), ("f", "periods is not a list"), ("g", "period without name"),
         ("g", "values is not a list"), ("h", "response is not an object"), ("i", "response is not an object"),
-        ("j", "malformed json"), ("k", "malformed json"),
+        ("j", "malformed json"), ("k", "malformed json"), *[(f"t{i}", "malformed json") for i in range(len(TAILS))],
     ], key=repr)
     texts = {r.id: r.text for r in bad.filter("id in ('e', 'f')").collect()}
     assert texts == {"e": '{"periods":[{"name":"Ene.2020","val', "f": '{"periods":7}'}
@@ -57,13 +62,15 @@ def test_meta_rows(spark, rows):
         ("f", '[{"page":1},{"date":"2020"}]'),
         ("g", '[{"page":1},[5,{"value":1},{"date":"2020","value":1}]]'),
         ("h", ""),
+        *[(f"t{i}", "[{}]" + tail) for i, tail in enumerate(TAILS)],
     ))
     good, bad = res.read_isolated(parsed)
     read = good.select("id", field("item", "$.date").alias("d"), field("item", "$.value", "double").alias("v"))
     assert rows(read) == sorted([("a", "2020", 2.3e11), ("a", "2021", None), ("g", "2020", 1.0)], key=repr)
     assert rows(bad, "id", "error") == sorted([
         ("e", "response is not a list"), ("f", "second element is not a list"),
-        ("g", "row is not an object"), ("g", "row without date"), ("h", "malformed json")], key=repr)
+        ("g", "row is not an object"), ("g", "row without date"), ("h", "malformed json"),
+        *[(f"t{i}", "malformed json") for i in range(len(TAILS))]], key=repr)
 
 
 def test_data_rows(spark, rows):
@@ -74,13 +81,15 @@ def test_data_rows(spark, rows):
         ("b", '{"count":0}'),
         ("c", '{"data":{"partnerCode":1}}'),
         ("d", '{"data":[1,"x",null]}'),
+        *[(f"t{i}", '{"data":[]}' + tail) for i, tail in enumerate(TAILS)],
     ))
     good, bad = res.read_isolated(parsed)
     codes = good.select("id", field("item", "$.partnerCode", "int").alias("p"))
     assert rows(codes) == [("a", 156), ("a", 76), ("a", 999)]
     assert rows(bad, "id", "error") == sorted([
         ("a", "primaryValue is not a number"), ("c", "data is not a list"),
-        ("d", "row is not an object"), ("d", "row is not an object"), ("d", "row is not an object")], key=repr)
+        ("d", "row is not an object"), ("d", "row is not an object"), ("d", "row is not an object"),
+        *[(f"t{i}", "malformed json") for i in range(len(TAILS))]], key=repr)
     lost = bad.filter("id = 'a'").select("text").first()[0]
     assert json.loads(lost) == {"partnerCode": 152, "primaryValue": "abc"}
 

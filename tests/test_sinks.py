@@ -11,7 +11,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrameWriter, functions as F
 
 from andesite import registry as R
-from andesite.plans.flow import BRONZE_PARTITIONS, FlowConfig, run_flow
+from andesite.plans.flow import (
+    BRONZE_PARTITIONS, NO_KEY, NOT_REQUESTED, OUTSIDE, FlowConfig, ingest_sources, missing_requests, run_flow,
+)
 from andesite.schemas import LAYER_TABLES, names
 from andesite.sinks import catalog, tables
 
@@ -200,7 +202,17 @@ def test_whole_flow(spark, rows, tmp_path):
     cfg = FlowConfig(series, annual, trade, "2024-03-10T06:00:00", RUN_DATE, prefix=prefix,
                      base=f"{tmp_path}/lake", snapshots=f"{tmp_path}/snap", errors=f"{tmp_path}/err",
                      staging=f"{tmp_path}/staging")
-    done = {"failed_sources": {}, "refreshed": {"economic_indicators": True, "trade_data": True}}
+    sources = {
+        "series": {"accepted": 168, OUTSIDE: 0, "rejected": {"malformed json": 1, NOT_REQUESTED: 1}},
+        "annual": {"accepted": 160, OUTSIDE: 0, "rejected": {}},
+        "trade": {"accepted": 36, OUTSIDE: 0, "rejected": {"primaryValue is not a number": 12}},
+    }
+    # Two series and five indicators have no dimension row, and no day lies before 2015.
+    broken = [("fact_economic_indicators", "foreign key", "date_key", 150),
+              ("fact_economic_indicators", "foreign key", "indicator_key", 128),
+              ("fact_trade_yearly", "foreign key", "partner_key", 12)]
+    done = {"sources": sources, "failed_sources": {}, "missing_requests": [],
+            "refreshed": {"economic_indicators": True, "trade_data": True}, "constraints": broken}
     for _ in range(2):  # a second run changes nothing
         assert run_flow(spark, cfg) == done
         t = lambda name: spark.table(prefix + name)
@@ -223,7 +235,8 @@ def test_whole_flow(spark, rows, tmp_path):
     errors = spark.read.parquet(f"{tmp_path}/err/comtrade_peru/2024/03/10")
     assert errors.count() == 12
     lost = spark.read.parquet(f"{tmp_path}/err/bcrp_indicators/2024/03/10")
-    assert rows(lost, "id", "error", "text") == [(None, "malformed json", "{broken")]
+    assert rows(lost, "id", "error") == sorted([(None, "malformed json"), ("unregistered", NOT_REQUESTED)], key=repr)
+    assert rows(lost.filter("id IS NULL"), "text") == [("{broken",)]
     assert spark.read.parquet(f"{tmp_path}/snap/comtrade_peru/2024/03/10").count() == 36
 
     # A source that cannot be read is reported; the others and the old rows stay.
@@ -234,3 +247,46 @@ def test_whole_flow(spark, rows, tmp_path):
     assert spark.table(f"{prefix}silver.economic_indicators").count() == 7 * 24 + 10 * 16
     for layer in LAYER_TABLES:
         catalog.drop_layer(spark, prefix + layer)
+
+
+def test_every_landed_row_is_counted_and_windows_hold(spark, rows, tmp_path):
+    """Rows before, in and after each window; lines without a key, with an unknown one, and broken."""
+    def lines(name, docs):
+        (tmp_path / name).write_text("\n".join(d if isinstance(d, str) else json.dumps(d) for d in docs))
+        return str(tmp_path / name)
+
+    def periods(*labels):
+        return {"periods": [{"name": label, "values": [{"value": "1"}]} for label in labels]}
+
+    daily, monthly = (next(i for i, _, _, freq in R.SERIES if (freq == "daily") == kind) for kind in (True, False))
+    series = lines("series.json", [
+        {"id": daily, "response": periods("31.Dic.2019", "02.Ene.20", "10.Mar.2024", "11.Mar.24")},
+        {"id": monthly, "response": periods("Dic.2019", "Ene.2020", "Mar.2024", "Abr.2024")},
+        {"id": "unregistered", "response": periods("Ene.2020")}, {"response": periods("Ene.2020")}, "{broken",
+        json.dumps({"id": monthly, "response": periods("Feb.2020")}) + "]x",
+    ])
+    annual = lines("annual.json", [{"id": R.ANNUAL[0][0], "response": [{}, [
+        {"date": str(y), "value": 1.0} for y in (1999, 2000, 2025, 2026)]]}])
+    good, bad = {"partnerCode": 156, "primaryValue": 1.5}, {"partnerCode": 156, "primaryValue": "1d"}
+    trade = lines("trade.json", [
+        {"flow_code": "X", "year": "2018", "response": {"data": [good, bad]}},
+        *[{"flow_code": "X", "year": y, "response": {"data": [good]}} for y in ("2017", "2030")],
+        {"flow_code": "Z", "year": "2018", "response": {"data": [good]}}, {"flow_code": "X", "response": {"data": [good]}},
+    ])
+    prefix = f"p{uuid.uuid4().hex[:6]}_"
+    cfg = FlowConfig(series, annual, trade, "2024-03-10T06:00:00", RUN_DATE, prefix=prefix,
+                     base=f"{tmp_path}/lake", staging=f"{tmp_path}/staging")
+    catalog.ensure_layers(spark, prefix, base=f"{tmp_path}/lake", partitions=BRONZE_PARTITIONS)
+    loaded, failures = ingest_sources(spark, cfg)
+    assert failures == {} and loaded == {
+        "series": {"accepted": 4, OUTSIDE: 4, "rejected": {NO_KEY: 1, NOT_REQUESTED: 1, "malformed json": 2}},
+        "annual": {"accepted": 2, OUTSIDE: 2, "rejected": {}},
+        "trade": {"accepted": 1, OUTSIDE: 2,
+                  "rejected": {NO_KEY: 1, NOT_REQUESTED: 1, "primaryValue is not a number": 1}},
+    }
+    stored = spark.table(f"{prefix}bronze.bcrp_indicators")
+    assert rows(stored, "series_id", "period") == sorted(
+        [(daily, "02.Ene.20"), (daily, "10.Mar.2024"), (monthly, "Ene.2020"), (monthly, "Mar.2024")], key=repr)
+    assert len(missing_requests(spark, cfg)) == 2 * 6 - 1
+    for layer in LAYER_TABLES:
+        catalog.drop_layer(spark, prefix + layer)

@@ -26,12 +26,3 @@ def case(sql: str) -> Callable[[Query], Query]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small table out over all cores before costly work on each row.
-
-    The supplied files have one row group each, which a single task reads.  A table with at
-    least one split per core stays as it is, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from andesite.functions.calendar import MONTH_ABBREVIATIONS
-from verification.case import spread, table
+from verification.case import table
 
 RUN_TS = "2024-01-31T00:00:00"
 
@@ -38,7 +38,7 @@ def label_sql(c: str) -> str:
 
 
 def series_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("series_id"),
         F.concat(F.lit("Prioridad "), "o_orderpriority").alias("series_name"),
         F.col("o_orderstatus").alias("category"),
@@ -81,7 +81,7 @@ QUALIFY row_number() OVER (
 
 def annual_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem")
     return lines.join(brands, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_brand").alias("indicator_id"),
         F.concat(F.lit("Marca "), "p_brand").alias("indicator_name"),
@@ -161,54 +161,71 @@ WHERE trade_value > 0
 
 
 def period_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One period-series response per order: an object value and a bare one.
+    """One period-series response per order, with three periods, one or none.
 
-    Small orders publish placeholders; cheap cancelled ones are cut off in mid-text.
+    The first period has an object value and a bare one, the second no value, the third two
+    values and a null.  Small orders publish placeholders; cheap cancelled ones are cut off in
+    mid-text, and those that cost more have text behind the document.
     """
-    price = F.col("o_totalprice")
+    price, key = F.col("o_totalprice"), F.col("o_orderkey")
     value = (
         F.when(price < 50000, F.lit("n.d."))
         .when(price < 60000, F.lit(" "))
         .otherwise(money_text("o_totalprice"))
     )
-    text = F.format_string(
-        '{"periods":[{"name":"%s","values":[{"value":"%s"},"%s"]}]}',
-        label("o_orderdate"),
-        value,
-        F.col("o_orderkey").cast("string"),
+    first = F.format_string(
+        '{"name":"%s","values":[{"value":"%s"},"%s"]}', label("o_orderdate"), value, key.cast("string")
+    )
+    more = F.lit(',{"name":"Dic.1999","values":[]},{"name":"Ene.2000","values":[{"value":"7"},8,{"value":null}]}')
+    periods = F.when(key % 3 == 0, F.concat(first, more)).when(key % 3 == 1, first).otherwise(F.lit(""))
+    text = F.concat(F.lit('{"periods":['), periods, F.lit("]}"))
+    tails = [F.when(key % 5 == n, F.lit(tail)) for n, tail in enumerate(("]", "],[", "]]", "}"))]
+    tail = F.coalesce(*tails, F.lit(" more"))
+    landed = (
+        F.when((F.col("o_orderstatus") == "P") & (price < 100000), F.substring(text, 1, 10))
+        .when((F.col("o_orderstatus") == "P") & (price < 150000), F.concat(text, tail))
+        .otherwise(text)
     )
-    cut = (F.col("o_orderstatus") == "P") & (price < 100000)
-    return spread(table(spark, sf_dir, "orders")).select(
-        F.col("o_orderpriority").alias("id"),
-        F.when(cut, F.substring(text, 1, 20)).otherwise(text).alias("response"),
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("id"), landed.alias("response")
     )
 
 
+MALFORMED = "o_orderstatus = 'P' AND o_totalprice < 150000"
 PERIOD_ROWS = f"""
 SELECT o_orderpriority AS id, {label_sql("o_orderdate")} AS period,
        unnest([CASE WHEN o_totalprice < 50000 THEN 'n.d.' WHEN o_totalprice < 60000 THEN ' '
                ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END,
                CAST(o_orderkey AS VARCHAR)]) AS value
-FROM orders WHERE NOT (o_orderstatus = 'P' AND o_totalprice < 100000)
+FROM orders WHERE NOT ({MALFORMED}) AND o_orderkey % 3 <> 2
+UNION ALL
+SELECT o_orderpriority, 'Ene.2000', unnest(['7', '8', NULL])
+FROM orders WHERE NOT ({MALFORMED}) AND o_orderkey % 3 = 0
 """
 
 
 def annual_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ``[metadata, rows]`` response per line; some have null or no rows, some a null value."""
+    """One ``[metadata, rows]`` response per line, with one row, two, none or null.
+
+    Some rows have a null value.
+    """
     number = F.when(F.col("l_discount") == 0, F.lit("null")).otherwise(money_text("l_extendedprice"))
     country = F.when(
         F.col("l_linestatus") == "F", F.format_string(',"country":{"value":"%s"}', "l_returnflag")
     ).otherwise(F.lit(""))
-    rows = F.format_string(
-        '[{"date":"%d","value":%s%s,"unit":"u"}]', F.year("l_shipdate"), number, country
+    row = F.format_string(
+        '{"date":"%d","value":%s%s,"unit":"u"}', F.year("l_shipdate"), number, country
     )
+    second = F.format_string(',{"date":"%d","value":5.5,"unit":"u"}', F.year("l_shipdate") + 1)
+    line = F.col("l_linenumber")
+    rows = F.when(line == 2, F.concat(row, second)).when(line == 3, F.lit("")).otherwise(row)
     tax = F.col("l_tax")
     text = (
         F.when(tax == 0.0, F.lit('[{"page":1}]'))
         .when(tax == 0.08, F.lit('[{"page":1},null]'))
-        .otherwise(F.concat(F.lit('[{"page":1},'), rows, F.lit("]")))
+        .otherwise(F.concat(F.lit('[{"page":1},['), rows, F.lit("]]")))
     )
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_returnflag", "l_linestatus").alias("id"), text.alias("response")
     )
 
@@ -218,35 +235,51 @@ SELECT l_returnflag || '-' || l_linestatus AS id,
        CASE WHEN l_linestatus = 'F' THEN l_returnflag ELSE 'Peru' END AS country,
        CAST(year(l_shipdate) AS VARCHAR) AS year,
        CASE WHEN l_discount = 0 THEN NULL ELSE CAST(l_extendedprice AS DOUBLE) END AS value
-FROM lineitem WHERE l_tax NOT IN (0.0, 0.08)
+FROM lineitem WHERE l_tax NOT IN (0.0, 0.08) AND l_linenumber <> 3
+UNION ALL
+SELECT l_returnflag || '-' || l_linestatus, 'Peru', CAST(year(l_shipdate) + 1 AS VARCHAR), 5.5
+FROM lineitem WHERE l_tax NOT IN (0.0, 0.08) AND l_linenumber = 2
 """
 
 
+# Partner codes of some lines belong to no supplier.
+PARTNER_SQL = "(l_suppkey + CASE WHEN l_linenumber = 7 THEN 1000000 ELSE 0 END)"
+
+
 def trade_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ``{data: [...]}`` response per line, with absent, null and unreadable fields."""
+    """One ``{data: [...]}`` response per line, with absent, null and unreadable fields.
+
+    Some have a second row, some none, some no list.
+    """
+    line = F.col("l_linenumber")
     product = F.when(
         F.col("l_linestatus") == "F", F.format_string(',"cmdCode":"%d","cmdDescE":"L"', "l_linenumber")
     ).otherwise(F.lit(""))
     value = F.when(F.col("l_tax") == 0.08, F.lit('"abc"')).otherwise(money_text("l_extendedprice"))
     weight = F.when(F.col("l_discount") == 0, F.lit("null")).otherwise(money_text("l_quantity"))
     row = F.format_string(
-        '{"partnerCode":%d%s,"primaryValue":%s,"netWgt":%s}', "l_suppkey", product, value, weight
+        '{"partnerCode":%d%s,"primaryValue":%s,"netWgt":%s}', F.expr(PARTNER_SQL), product, value, weight
     )
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    second = F.lit(',{"partnerCode":999999,"primaryValue":"12.5"}')
+    rows = F.when(line == 2, F.concat(row, second)).when(line == 3, F.lit("")).otherwise(row)
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("flow_code"),
         F.year("l_shipdate").cast("string").alias("year"),
         F.when(F.col("l_tax") == 0.0, F.lit('{"count":0}'))
-        .otherwise(F.concat(F.lit('{"data":['), row, F.lit("]}")))
+        .otherwise(F.concat(F.lit('{"data":['), rows, F.lit("]}")))
         .alias("response"),
     )
 
 
-TRADE_ROWS = """
+TRADE_ROWS = f"""
 SELECT l_returnflag AS flow_code, CAST(year(l_shipdate) AS VARCHAR) AS year,
-       CAST(l_suppkey AS VARCHAR) AS partner_code,
+       CAST({PARTNER_SQL} AS VARCHAR) AS partner_code,
        CASE WHEN l_linestatus = 'F' THEN CAST(l_linenumber AS VARCHAR) ELSE 'TOTAL' END AS cmd_code,
        CASE WHEN l_linestatus = 'F' THEN 'L' ELSE 'Total' END AS cmd_desc,
        CAST(l_extendedprice AS DOUBLE) AS trade_value,
        CASE WHEN l_discount = 0 THEN 0.0 ELSE CAST(l_quantity AS DOUBLE) END AS net_weight
-FROM lineitem WHERE l_tax NOT IN (0.0, 0.08)
+FROM lineitem WHERE l_tax NOT IN (0.0, 0.08) AND l_linenumber <> 3
+UNION ALL
+SELECT l_returnflag, CAST(year(l_shipdate) AS VARCHAR), '999999', 'TOTAL', 'Total', 12.5, 0.0
+FROM lineitem WHERE l_tax <> 0.0 AND l_linenumber = 2
 """
