@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, types as T
 from andesite.llm.tokens import END_OF_DOCUMENT, TokenIds
 
 WIDTH = 2048
-POOL_TOKENS = 4_000_000
+POOL_TOKENS = 1_500_000
 # Rows of one task are numbered from its partition number times this.
 ROWS_PER_TASK = 1 << 40
 

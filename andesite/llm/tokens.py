@@ -16,7 +16,7 @@ import public_tokenizers
 import tiktoken
 
 # Chunks a worker remembers before it forgets them all; it bounds memory and changes no result.
-MEMORY_CHUNKS = 500_000
+MEMORY_CHUNKS = 250_000
 END_OF_DOCUMENT = b"\0\0\0\0"
 
 
