@@ -6,7 +6,7 @@ order, one of allowed and one of blocked URLs: a character follows its two prede
 probability that is interpolated with the one after its last predecessor, that with the one without
 context, and that with the same for all characters.  The log of the ratio, for each of the ``SIZE``
 cubed triples of characters, is one number; their mean over a URL's characters is its score.
-A fifth of the decided URLs is held out, and the bound between the mean scores of its two classes,
+Three sixteenths of the decided URLs are held out, and the bound between the mean scores of its two classes,
 in the ratio of their deviations, tells allowed from blocked among the rest.
 
 Letters are lower-cased and characters outside ``ALPHABET`` count as one, so the model has a fixed
@@ -29,7 +29,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-._~:/?#[]@!$&'()*+,;=%"
 SIZE = 64  # codes: 0 for other characters, 1 to 60 for the alphabet, START before the first
 START = 63
 WEIGHT = 5.0  # how many observations the shorter context is worth
-HELD_OUT = 5
+HELD_OUT = "3"  # URLs whose hash begins with a smaller hexadecimal digit are held out
 RULES = (
     ("block", "net", "/"), ("allow", "example.net", "/en/"),
     ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
@@ -135,7 +135,7 @@ def with_score(urls: DataFrame, ratios: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) of each page."""
     ruled = with_rule(pages, rules)
-    held = F.crc32("url") % HELD_OUT == 0
+    held = F.md5("url") < HELD_OUT
     ratios = log_ratios(ruled.filter(F.col("decided").isNotNull() & ~held))
     scored = with_score(ruled, ratios)
     sample = scored.filter(F.col("decided").isNotNull() & held)
@@ -152,3 +152,63 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES)
     return scored.select(
         "page_id", "host", "path", "rule", F.coalesce("decided", by_score).alias("verdict"), "score"
     )
+
+
+def _in_classes(text: str) -> str:
+    return ", ".join(text.replace("@", v) for v in ("allow", "block"))
+
+
+_LETTER = "'" + ALPHABET.replace("'", "''") + "'"
+_FITS = [
+    (v, h + p, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')")
+    for v, h, p in sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r))
+]
+URLS_SQL = f"""
+WITH rests AS (
+  SELECT page_id, coalesce(url, '') AS url,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+), ruled AS (
+  SELECT *, CASE {" ".join(f"WHEN {fit} THEN '{rule}'" for _, rule, fit in _FITS)} END AS rule,
+         CASE {" ".join(f"WHEN {fit} THEN '{v}'" for v, _, fit in _FITS)} END AS decided
+  FROM parts
+), places AS (SELECT DISTINCT url, unnest(range(1, length(url) + 1)) AS i FROM ruled),
+codes AS (
+  SELECT url, i, CASE WHEN i < 3 THEN {START} ELSE strpos({_LETTER}, lower(url)[i - 2]) END AS a,
+         CASE WHEN i < 2 THEN {START} ELSE strpos({_LETTER}, lower(url)[i - 1]) END AS b,
+         strpos({_LETTER}, lower(url)[i]) AS c
+  FROM places
+), seen AS (
+  SELECT a, b, c, {_in_classes("count(*) FILTER (decided = '@') AS @")}
+  FROM ruled JOIN codes USING (url) WHERE decided IS NOT NULL AND md5(url) >= '{HELD_OUT}' GROUP BY ALL
+), t AS (SELECT a, b, {_in_classes("sum(@) AS @")} FROM seen GROUP BY ALL),
+bc AS (SELECT b, c, {_in_classes("sum(@) AS @")} FROM seen GROUP BY ALL),
+b1 AS (SELECT b, {_in_classes("sum(@) AS @")} FROM seen GROUP BY ALL),
+c1 AS (SELECT c, {_in_classes("sum(@) AS @")} FROM seen GROUP BY ALL),
+o AS (SELECT {_in_classes("coalesce(sum(@), 0) AS @")} FROM seen),
+zero AS (
+  SELECT codes.*, {_in_classes(f"(coalesce(c1.@, 0) + {WEIGHT}::DOUBLE / {SIZE}) / (o.@ + {WEIGHT}::DOUBLE) AS @0")}
+  FROM codes LEFT JOIN c1 USING (c), o
+), one AS (
+  SELECT zero.*, {_in_classes(f"(coalesce(bc.@, 0) + {WEIGHT}::DOUBLE * @0) / (coalesce(b1.@, 0) + {WEIGHT}::DOUBLE) AS @1")}
+  FROM zero LEFT JOIN bc USING (b, c) LEFT JOIN b1 USING (b)
+), two AS (
+  SELECT one.*, {_in_classes(f"(coalesce(seen.@, 0) + {WEIGHT}::DOUBLE * @1) / (coalesce(t.@, 0) + {WEIGHT}::DOUBLE) AS @2")}
+  FROM one LEFT JOIN seen USING (a, b, c) LEFT JOIN t USING (a, b)
+), scores AS (SELECT url, round(avg(ln(allow2) - ln(block2)), 9) AS score FROM two GROUP BY url),
+scored AS (SELECT ruled.*, coalesce(score, 0.0) AS score FROM ruled LEFT JOIN scores USING (url)),
+spread AS (
+  SELECT {_in_classes("avg(score) FILTER (decided = '@') AS mean_@, stddev_pop(score) FILTER (decided = '@') AS dev_@")}
+  FROM scored WHERE md5(url) < '{HELD_OUT}'
+), bound AS (
+  SELECT round(CASE WHEN dev_allow + dev_block = 0 THEN (mean_allow + mean_block) / 2
+               ELSE (mean_allow * dev_block + mean_block * dev_allow) / (dev_allow + dev_block) END, 9) AS cut
+  FROM spread
+)
+SELECT page_id, host, path, rule, coalesce(decided, CASE WHEN score < cut THEN 'block' ELSE 'allow' END) AS verdict, score
+FROM scored, bound
+"""

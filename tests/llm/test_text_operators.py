@@ -380,6 +380,10 @@ def plain_rule(host, path):
     return best
 
 
+def is_held_out(url):
+    return hashlib.md5(url.encode()).hexdigest() < urls.HELD_OUT
+
+
 def plain_scores(rows):
     """Scores of all URLs from dictionaries of counts."""
     def codes(url):
@@ -388,7 +392,7 @@ def plain_scores(rows):
 
     seen = {v: [Counter() for _ in range(6)] for v in ("allow", "block")}
     for url, decided in rows:
-        if decided and zlib.crc32(url.encode()) % 5:
+        if decided and not is_held_out(url):
             for a, b, c in codes(url):
                 for counter, key in zip(seen[decided], ((a, b, c), (a, b), (b, c), b, c, 0)):
                     counter[key] += 1
@@ -410,7 +414,7 @@ def test_urls_match_plain_models(spark):
     got = by_id(urls.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string")), "page_id")
     known = [(u or "", (plain_rule(*plain_host_path(u)) or (None, None))[1]) for _, u in rows]
     scores = plain_scores(known)
-    held = {v: [scores[u] for u, d in known if d == v and zlib.crc32(u.encode()) % 5 == 0] for v in ("allow", "block")}
+    held = {v: [scores[u] for u, d in known if d == v and is_held_out(u)] for v in ("allow", "block")}
     a, b = held["allow"], held["block"]
     bound = (np.mean(a) * np.std(b) + np.mean(b) * np.std(a)) / (np.std(a) + np.std(b))
     for page_id, url in rows:
