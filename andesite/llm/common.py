@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,7 +99,3 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for j in range(size):
         h = h * ODD + words[j : n - size + 1 + j]
     return mix(h)
-
-
-def list_column(rows: list[list], kind: pa.DataType) -> pa.Array:
-    return pa.array(rows, pa.list_(kind))
