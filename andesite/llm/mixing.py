@@ -25,6 +25,7 @@ along in ``row``; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -81,9 +82,11 @@ def mix(
     target_entropy: float | None = None,
     block_tokens: int = BLOCK_TOKENS,
     seed: str = SEED,
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
     """Copies of the documents to take: row, source, epoch, tokens, position, block, order_key.
 
+    ``row`` has the columns to ``carry``, which are shuffled with each copy: all, unless named.
     ``budget_share`` is the budget as a share of all words there are.  A limit on repeats that no
     weights can meet gives the natural shares.
     """
@@ -108,7 +111,8 @@ def mix(
     )
 
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row"),
+        F.col("doc_id").alias("id"),
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
         size_of().alias("tokens"),
     )
@@ -116,7 +120,7 @@ def mix(
     copies = (
         rows.join(quotas, "source").filter(last >= 0)
         .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "epoch", "row.doc_id")))
+        .withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "epoch", "id")))
         .withColumn("bucket", F.substring("key", 1, HEX_DIGITS))
     )
     # Words by bucket: read from the documents again, without the rows that ride along.
@@ -124,7 +128,7 @@ def mix(
     sums = copies.groupBy(*group).agg(F.sum("tokens").alias("bucket_tokens"))
     earlier = Window.partitionBy("source", "epoch").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select(*group, F.coalesce(F.sum("bucket_tokens").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy(*group).orderBy("key", "row.doc_id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*group).orderBy("key", "id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))
     taken = (F.col("epoch") < F.col("epochs")) | (F.col("start") + F.col("tokens") <= F.col("rest"))
     return (
@@ -133,7 +137,7 @@ def mix(
         .withColumn("block", F.expr("position DIV per_block"))
         .select(
             "row", "source", "epoch", "tokens", "position", "block",
-            F.md5(F.concat_ws(":", F.lit(seed), "block", "epoch", "row.doc_id")).alias("order_key"),
+            F.md5(F.concat_ws(":", F.lit(seed), "block", "epoch", "id")).alias("order_key"),
         )
     )
 

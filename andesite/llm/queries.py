@@ -62,7 +62,7 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select(
+    return mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"]).select(
         "row.doc_id", "source", "epoch", "tokens", "position", "block", "order_key"
     )
 
@@ -81,3 +81,5 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op2_top_k"] = topk.SEARCH_SQL
+SQL["op8_urls"] = urls.URLS_SQL
+SQL["op10_near_duplicates"] = near_dup.NEAR_SQL
