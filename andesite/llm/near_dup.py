@@ -2,25 +2,25 @@
 
 A document's set is its distinct runs of ``WORDS`` words (A-Z lower-cased, split at ASCII blanks);
 with fewer words the whole sequence is the one member, without words the set is empty.  Documents
-are linked if their sets have a Jaccard similarity of at least ``PERCENT`` per cent, and the groups
-are the connected components of the links.
+are linked if their sets have a Jaccard similarity of at least ``percent`` per cent (``PERCENT`` unless
+given), and the groups are the connected components of the links.
 
 1. Equal sets become one class, found by a 128-bit fingerprint, so exact copies are never paired.
-2. Every class has a signature of ``SYMBOLS`` minima, 8 bits each.  The first 42 are split into 7
-   chunks of 6.  By the pigeonhole principle two signatures that differ in at most 13 of the 42
-   have a chunk that differs in at most one symbol: each chunk gives one key for each symbol that
-   may be wrong, 42 keys in all, and such a pair shares a key.  At a similarity of 0.85 a pair
-   differs in 6.3 of 42 on average; the chance that it shares no key is 3 in 100,000, and less
-   above.
+2. Every class has a signature of ``SYMBOLS`` minima, 8 bits each.  The first of them are split
+   into chunks of 6, each of which gives one key for each symbol that may be wrong; a pair with a
+   chunk that differs in at most one symbol shares a key.  ``layout`` takes as many chunks as are
+   needed for a pair at the least similarity to share no key with a chance of at most ``MISS``, and
+   less above: 7 chunks at 85 per cent, 10 at 80.  By the pigeonhole principle two signatures that
+   differ in at most 13 symbols of 7 chunks always share a key.
 3. Each key names its smallest class as leader, and the pairs of members and leaders are confirmed:
-   first all symbols are compared (at least ``LEAST_EQUAL`` of 128 must be equal, 4.7 deviations
-   below the mean at 0.85), then the full sets.  Links become components.
+   first all symbols are compared (at least ``least_equal`` of 128 must be equal, ``DEVIATIONS`` below
+   the mean at the least similarity), then the full sets.  Links become components.
 4. Only keys that still hold several components are searched further.  In ``ROUNDS`` rounds every
    member proposes, within its key, the most similar member of another component; what is
    confirmed joins components.  This changes no result and saves most of the work of step 5.
 5. Within the keys that still hold several components, all pairs of different components are
-   compared: by the 128 symbols, then by a sketch of ``SKETCH`` more (at least ``LEAST_SKETCH`` equal,
-   again 4.7 deviations below the mean).  A pair is proposed in the first key it shares only, and
+   compared: by the 128 symbols, then by a sketch of ``SKETCH`` more (at least ``least_sketch`` equal,
+   again ``DEVIATIONS`` below the mean).  A pair is proposed in the first key it shares only, and
    each pair that passes is confirmed on full sets.  Pairs within a component are not needed.
 6. The components of all links are final.
 
@@ -36,6 +36,7 @@ the same values; further columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +46,11 @@ from andesite.llm.common import WordHashes, byte_words, mix, stage, window_hashe
 
 WORDS = 5
 PERCENT = 85
-SYMBOLS = 128
-CHUNKS, CHUNK = 7, 6
-LEAST_EQUAL = 90
-SKETCH, LEAST_SKETCH = 1024, 817
+SYMBOLS, SKETCH = 128, 1024
+CHUNK = 6
+# The chance that a pair at the least similarity shares no key, and the deviations it may fall below
+# the mean in a comparison of symbols.
+MISS, DEVIATIONS = 3e-5, 4.7
 ROUNDS = 2
 BLOCK = 1024
 # Hashes handled at once when signatures are computed.
@@ -66,6 +68,33 @@ PRINT = T.StructType([
 ])
 
 
+class Layout(NamedTuple):
+    """What follows from the least similarity: chunks of the keys, equal symbols of the comparisons."""
+
+    percent: int
+    chunks: int
+    least_equal: int
+    least_sketch: int
+
+
+def layout(percent: int) -> Layout:
+    """The layout for a similarity of at least ``percent`` per cent."""
+    if not 0 < percent <= 100:
+        raise ValueError("the similarity must be above 0 and at most 100 per cent")
+    equal = percent / 100 + (1 - percent / 100) / 256
+    apart = 1 - equal**CHUNK - CHUNK * equal ** (CHUNK - 1) * (1 - equal)
+    chunks = 1
+    while apart**chunks > MISS:
+        chunks += 1
+        if chunks * CHUNK > SYMBOLS:
+            raise ValueError(f"{SYMBOLS} symbols are too few for a similarity of {percent} per cent")
+
+    def least(n: int) -> int:
+        return round(n * equal - DEVIATIONS * (n * equal * (1 - equal)) ** 0.5)
+
+    return Layout(percent, chunks, least(SYMBOLS), least(SKETCH))
+
+
 def shingles(text: str | None, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
     """The sorted hashes of a text's set."""
     return np.unique(window_hashes(hashes.of(byte_words(text, lower=True)), words))
@@ -119,10 +148,10 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, PRINT)
 
 
-def chunk_keys(signature: str = "signature") -> Column:
+def chunk_keys(signature: str = "signature", chunks: int = layout(PERCENT).chunks) -> Column:
     """Per chunk and symbol that may be wrong: a hash of the chunk's other symbols."""
     keys = []
-    for chunk in range(CHUNKS):
+    for chunk in range(chunks):
         first = chunk * CHUNK + 1
         for wrong in range(CHUNK):
             left = F.substring(signature, first, wrong)
@@ -136,14 +165,14 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
 
 
-def screen(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def screen(pairs: DataFrame, classes: DataFrame, least_equal: int) -> DataFrame:
     """The pairs (a, b) with enough equal symbols."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 equal = (_matrix(batch.column("sign_a")) == _matrix(batch.column("sign_b"))).sum(1)
-                yield batch.select(["a", "b"]).filter(pa.array(equal >= LEAST_EQUAL))
+                yield batch.select(["a", "b"]).filter(pa.array(equal >= least_equal))
 
     def side(c: str) -> DataFrame:
         return classes.select(F.col("class").alias(c), F.col("signature").alias(f"sign_{c}"))
@@ -176,7 +205,8 @@ def block_members(keyed: DataFrame, labels: DataFrame) -> DataFrame:
 class Group:
     """The members of a key in one block, or in two."""
 
-    def __init__(self, rows: pa.Table):
+    def __init__(self, rows: pa.Table, limits: Layout):
+        self.limits = limits
         self.ids, self.labels, self.own = (rows.column(c).to_numpy() for c in ("class", "label", "own"))
         self.signs = _matrix(rows.column("signature"))
         self.slot = rows.column("slot")[0].as_py()
@@ -189,12 +219,14 @@ class Group:
         """The others of another component with enough symbols like those of x, and how many."""
         others = others[self.labels[others] != self.labels[x]]
         equal = np.count_nonzero(self.signs[others] == self.signs[x], axis=1)
-        return others[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
+        enough = equal >= self.limits.least_equal
+        return others[enough], equal[enough]
 
     def first_shared(self, x: int, others: np.ndarray) -> np.ndarray:
         """The others for which this key is the first that they share with x."""
-        wrong = (self.signs[others, : CHUNKS * CHUNK] != self.signs[x, : CHUNKS * CHUNK])
-        wrong = wrong.reshape(len(others), CHUNKS, CHUNK).sum(2)
+        chunks = self.limits.chunks
+        wrong = (self.signs[others, : chunks * CHUNK] != self.signs[x, : chunks * CHUNK])
+        wrong = wrong.reshape(len(others), chunks, CHUNK).sum(2)
         first = (wrong <= 1).argmax(1)
         alike = wrong[np.arange(len(others)), first] == 0
         return others[(first == self.slot // CHUNK) & (~alike | (self.slot % CHUNK == 0))]
@@ -205,9 +237,9 @@ class Group:
         return pa.table({"a": pa.array(np.minimum(x, y), pa.int64()), "b": pa.array(np.maximum(x, y), pa.int64())})
 
 
-def best_pairs(rows: pa.Table) -> pa.Table:
+def best_pairs(rows: pa.Table, limits: Layout) -> pa.Table:
     """Each member with the most similar one of another component."""
-    group = Group(rows)
+    group = Group(rows, limits)
     left, right = group.sides()
     found = []
     for own, others in [(left, right)] + ([(right, left)] if group.i != group.j else []):
@@ -218,16 +250,16 @@ def best_pairs(rows: pa.Table) -> pa.Table:
     return group.pairs(found)
 
 
-def all_pairs(rows: pa.Table) -> pa.Table:
+def all_pairs(rows: pa.Table, limits: Layout) -> pa.Table:
     """All pairs of different components that pass both comparisons, in the first key they share."""
-    group = Group(rows)
+    group = Group(rows, limits)
     sketches = _matrix(rows.column("sketch"))
     left, right = group.sides()
     found = []
     for x in left:
         near, _ = group.near(x, right[right > x] if group.i == group.j else right)
         near = group.first_shared(x, near)
-        near = near[np.count_nonzero(sketches[near] == sketches[x], axis=1) >= LEAST_SKETCH]
+        near = near[np.count_nonzero(sketches[near] == sketches[x], axis=1) >= limits.least_sketch]
         if len(near):
             found.append((x, near))
     return group.pairs(found)
@@ -255,7 +287,7 @@ def candidate_sets(keyed: DataFrame, docs: DataFrame, words: int = WORDS) -> Dat
     return texts.mapInArrow(run, "class bigint, members binary, sketch binary").dropDuplicates(["class"])
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the similarity."""
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +298,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 both = np.concatenate([a, b])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= PERCENT * (len(a) + len(b) - common))
+                keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def side(c: str) -> DataFrame:
@@ -295,25 +327,27 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each document."""
+    limits = layout(percent)
     prints = stage(fingerprints(docs), "prints")
     named = prints.filter("doc_id IS NOT NULL AND n_shingles > 0")
     by_print = named.groupBy("print1", "print2", "n_shingles").agg(
         F.min("doc_id").alias("class"), F.first("signature").alias("signature"), F.count("*").alias("rows"))
     # One row for each different set, under the smallest doc_id that has it.
     classes = stage(by_print, "classes")
-    keyed = stage(_shared_keys(classes), "keys")
+    keyed = stage(_shared_keys(classes, limits.chunks), "keys")
     sets = stage(candidate_sets(keyed, docs), "sets")
-    links = stage(confirm(screen(leader_pairs(keyed), classes), sets), "links")
+    links = stage(confirm(screen(leader_pairs(keyed), classes, limits.least_equal), sets, percent), "links")
     for _ in range(ROUNDS):
         members = block_members(keyed, components(links)).join(classes.select("class", "signature"), "class")
-        best = members.groupBy("key", "i", "j").applyInArrow(best_pairs, "a bigint, b bigint").distinct()
-        links = links.union(stage(confirm(best, sets), "links"))
+        best = members.groupBy("key", "i", "j").applyInArrow(
+            lambda rows: best_pairs(rows, limits), "a bigint, b bigint").distinct()
+        links = links.union(stage(confirm(best, sets, percent), "links"))
     symbols = classes.select("class", "signature").join(sets.select("class", "sketch"), "class")
     members = block_members(keyed, components(links)).join(symbols, "class")
-    rest = members.groupBy("key", "i", "j").applyInArrow(all_pairs, "a bigint, b bigint")
-    links = links.union(stage(confirm(rest, sets), "links"))
+    rest = members.groupBy("key", "i", "j").applyInArrow(lambda rows: all_pairs(rows, limits), "a bigint, b bigint")
+    links = links.union(stage(confirm(rest, sets, percent), "links"))
     labels = components(links)
     ends = classes.join(labels, "class", "left").select(
         "print1", "print2", "n_shingles", F.coalesce("label", "class").alias("label"), "rows", "class"
@@ -326,19 +360,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _shared_keys(classes: DataFrame) -> DataFrame:
+def _shared_keys(classes: DataFrame, chunks: int) -> DataFrame:
     """(key, slot, class) of the keys that several classes share; ``slot`` numbers a class's keys."""
-    all_keys = classes.select("class", F.posexplode(chunk_keys()).alias("slot", "key"))
+    all_keys = classes.select("class", F.posexplode(chunk_keys(chunks=chunks)).alias("slot", "key"))
     shared = all_keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     return all_keys.join(shared, "key")
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each group, the one with the smallest doc_id, unchanged.
 
     Rows that repeat a doc_id are one document; rows with a null doc_id all stay.
     """
-    kept = near_duplicates(docs).filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    kept = near_duplicates(docs, percent).filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
 

@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and works on all documents that the one
 the last return the columns of the documents.
 
 language  learn languages from the training part of the documents; unknown and undecided ones go
-near_dup  one document of each group of near-duplicates stays, that with the smallest doc_id
+near_dup  one document of each group of near-duplicates (word runs alike by at least 80 per cent)
+          stays, that with the smallest doc_id
 pii       personal data is replaced by its kind
 mixing    sources are mixed to flatter weights within a budget; no document is taken twice
 packing   pieces of the documents, placed in sequences
@@ -23,6 +24,8 @@ from andesite.llm.common import stage, table
 
 # The least share of a document's text in its main language.
 MAIN_LANGUAGE = 0.35
+# Documents of at least this similarity, in per cent, are near-duplicates.
+NEAR_PERCENT = 80
 # The mixture takes this share of all words, no document more than once.
 BUDGET_SHARE, MAX_REPEATS = 0.8, 1.0
 
@@ -33,7 +36,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.drop_near_duplicates(docs)
+    return near_dup.drop_near_duplicates(docs, NEAR_PERCENT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections import Counter
+from itertools import combinations
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from andesite.llm import pii
+from andesite.llm import near_dup, pii
 from andesite.llm.common import stage, table
 from test_text_operators import DOCS, check_pieces, plain_groups
 
@@ -62,3 +64,39 @@ def test_empty_and_awkward_documents(spark, tmp_path):
     for n, own in enumerate((rows, [])):
         spark.createDataFrame(own, DOCS).write.parquet(f"{tmp_path}/{n}/documents.parquet")
         assert corpus_pipeline.run(spark, f"{tmp_path}/{n}").count() >= 0
+
+
+def kept_of_all_pairs(texts, percent):
+    """The smallest doc_id of each group, by the word runs of all pairs."""
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, t in texts.items() if (w := t.lower().split())}
+    group = {d: d for d in texts}
+    for a, b in combinations(sorted(sets), 2):
+        small, large = sorted((len(sets[a]), len(sets[b])))
+        if group[a] != group[b] and 100 * small >= percent * large:
+            common = len(sets[a] & sets[b])
+            if 100 * common >= percent * (small + large - common):
+                low, high = sorted((group[a], group[b]))
+                group = {d: low if g == high else g for d, g in group.items()}
+    return {d for d, g in group.items() if d == g}
+
+
+def test_near_duplicates_are_dropped_from_four_fifths_on(spark):
+    rng = np.random.default_rng(5)
+    texts = {}
+    for i in range(300):
+        words = [f"w{n}" for n in rng.integers(0, 5000, rng.integers(40, 160))]
+        texts[2 * i] = " ".join(words)
+        for at in rng.integers(0, len(words), rng.integers(1, 4)):
+            words[at] = f"x{i}"
+        texts[2 * i + 1] = " ".join(words)
+    words = [f"v{n}" for n in range(60)]
+    texts |= {1000: " ".join(words), 1001: " ".join([*words[:30], "other", *words[31:]])}  # 51 of 61 runs
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()}
+    want = kept_of_all_pairs(texts, 80)
+    assert got == want and 1001 not in got and len(want) < len(kept_of_all_pairs(texts, 85))
+    docs = table(spark, SF_DIR, "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()}
+    assert got == kept_of_all_pairs(texts, 80)
+    assert near_dup.layout(85) == (85, 7, 90, 817)
