@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from andesite.llm import fertility, langid, mixing, near_dup, packed_files, packing, pii, topk, unigram, urls
+from andesite.llm import (
+    centroids, divergence, fertility, langid, mixing, near_dup, ngram_join, packed_files, packing, pii, topk, unigram, urls,
+)
 from andesite.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +82,24 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 SQL["op2_top_k"] = topk.SEARCH_SQL
 SQL["op8_urls"] = urls.URLS_SQL
 SQL["op10_near_duplicates"] = near_dup.NEAR_SQL
+SQL["op11_centroids"] = centroids.CLUSTER_SQL
+SQL["op12_divergence"] = divergence.DIVERGENCE_SQL
+SQL["op13_ngram_join"] = ngram_join.JOIN_SQL
