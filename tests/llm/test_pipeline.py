@@ -34,7 +34,7 @@ def test_stages_one_after_the_other(spark):
         if name == "language":
             assert len(after) >= 0.98 * len(before) and all(before[d] == r for d, r in after.items())
         if name == "near_dup":
-            groups = plain_groups({d: r["text"] for d, r in before.items()})
+            groups = plain_groups({d: r["text"] for d, r in before.items()}, corpus_pipeline.NEAR_PERCENT)
             assert set(after) == {d for d, g in groups.items() if g[3]}
         if name == "pii":
             assert set(after) == set(before)

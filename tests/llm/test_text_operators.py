@@ -464,7 +464,7 @@ def test_mixture_meets_its_limits(spark, awkward, nothing):
 # --- near-duplicates ---------------------------------------------------------------------
 
 
-def plain_groups(texts):
+def plain_groups(texts, percent=85):
     lower = str.maketrans(urls.UPPER, urls.LOWER)
     sets = {}
     for d, t in texts.items():
@@ -483,7 +483,7 @@ def plain_groups(texts):
 
     for d in sorted(sets):
         for y, n in Counter(y for x in sets[d] for y in where[x] if y > d).items():
-            if 100 * n >= 85 * (len(sets[d]) + len(sets[y]) - n):
+            if 100 * n >= percent * (len(sets[d]) + len(sets[y]) - n):
                 a, b = sorted((find(d), find(y)))
                 parent[b] = a
     return {d: (d, len(s), find(d), find(d) == d) for d, s in sets.items()}
