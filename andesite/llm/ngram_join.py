@@ -4,21 +4,22 @@ A document's set is its distinct runs of ``WORDS`` words (A-Z lower-cased, split
 fewer words the whole sequence is the one member, without words the set is empty.  Documents link if
 their sets have a Jaccard similarity of at least ``percent`` per cent.
 
-1. A first pass over the texts counts members in ``2 ** LEVEL_BITS`` buckets.  The logarithm of its bucket
+1. A first pass over the texts counts runs in ``2 ** LEVEL_BITS`` buckets.  The logarithm of its bucket
    orders members, rare ones first.  Any order gives the same links; this one keeps common passages
    out of the keys.  What is broadcast is one byte per bucket, whatever the data.
-2. A second pass writes each document's sorted set, fingerprint, bitmap and keys: of n members the first
+2. A second pass writes each document's fingerprint, bitmap and keys: of n members the first
    ``n - ceil(percent * n) + 1`` in that order.  Two linked sets share one of these keys.
 3. Equal sets become one class, so exact copies are never paired.  Classes that share a key meet in
    tiles of a key and two neighbouring size bands; linked sets lie in the same or in neighbouring bands,
    as a band's sizes grow by ``100 / percent``.
-4. In ``ROUNDS`` rounds the pairs of one leader per key and band with the members of other components are
-   tested, and links join components.  This changes no result: it leaves fewer tiles for step 5.
-5. In tiles that still hold several components all pairs of different components of fitting sizes are
-   compared by their bitmaps.  A bit that one has and the other lacks is a member that the other lacks, so
-   bit counts bound the overlap from above.  Wide bitmaps are folded to the narrower's width.
-6. Pairs that pass are confirmed by exact intersection of the sorted sets.  Pairs within a component are
-   not needed for the result.
+4. In a tile, pairs of fitting sizes are compared by their bitmaps.  A bit that one has and the other
+   lacks is a member that the other lacks, so bit counts bound the overlap from above.  Wide bitmaps are
+   folded to the narrower's width.  Each class names one partner per tile that it may be similar to.
+5. A third pass makes the sorted sets of the classes with a partner alone, chosen by ``FILTER_BITS`` bits
+   of their hashed ids, so no text is ever shuffled.  The pairs are confirmed by exact intersection of
+   the sorted sets, and links join components.
+6. In tiles that still hold several components all pairs of different components are compared by their
+   bitmaps, and those that pass are confirmed.  Pairs within a component are not needed for the result.
 
 Nothing is capped: a tile with more than ``BLOCK`` members is compared in pairs of blocks, each a group of
 its own.
@@ -38,59 +39,72 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from andesite.llm.common import WordHashes, mix, stage
+from andesite.llm.common import WordHashes, byte_words, mix, slices, stage, window_hashes
 from andesite.llm.near_dup import components, shingles
 
 WORDS, PERCENT = 5, 80
-LEVEL_BITS = 20
+LEVEL_BITS = 22
 # Counts of buckets leave a task in ranges of this many.
 RANGE = 1 << 16
 # Widths of bitmaps in bits; a set of n members has the least power of two from 2 n on, within these.
 NARROWEST, WIDEST = 256, 8192
-ROUNDS = 3
+# Bits of the filter that chooses documents for the third pass, and bits of a row of it.
+FILTER_BITS, FILTER_ROW = 1 << 24, 1 << 15
 BLOCK = 2048
-# Hashes gathered before they are counted.
-GATHER = 1 << 21
+# Pairs compared at once.
+STRIP = 1 << 18
 
+PRINT = ["n", "print1", "print2"]
+KEYS = T.StructType([
+    T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.LongType()) for c in PRINT],
+    T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("bitmap", T.BinaryType()),
+])
 SETS = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()),
-    T.StructField("print1", T.LongType()), T.StructField("print2", T.LongType()),
-    T.StructField("keys", T.ArrayType(T.LongType())),
-    T.StructField("members", T.BinaryType()), T.StructField("bitmap", T.BinaryType()),
+    T.StructField("doc_id", T.LongType()), *[T.StructField(c, T.LongType()) for c in PRINT],
+    T.StructField("members", T.BinaryType()),
 ])
-PRINT = ["print1", "print2", "n"]
 
 
 def bucket(hashes: np.ndarray) -> np.ndarray:
     return hashes >> np.uint64(64 - LEVEL_BITS)
 
 
+def runs_of(texts: list[str | None], hashes: WordHashes, words: int) -> np.ndarray:
+    """The hashes of all runs of words in some texts; texts with fewer words are left out."""
+    split = [w for w in (byte_words(t, lower=True) for t in texts) if len(w) >= words]
+    if not split:
+        return np.empty(0, np.uint64)
+    sizes = np.array([len(w) for w in split])
+    runs = window_hashes(hashes.of([w for own in split for w in own]), words)
+    left = np.repeat(np.cumsum(sizes), sizes)[: len(runs)] - np.arange(len(runs))
+    return runs[left >= words]
+
+
 def member_levels(docs: DataFrame, words: int = WORDS) -> np.ndarray:
-    """The logarithm of the number of members in each bucket, over all documents."""
+    """The logarithm of the number of runs in each bucket, over all documents.
+
+    What a task counts in one bucket is sent as one byte, 255 standing for more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         counts = np.zeros(1 << LEVEL_BITS, np.int64)
-        held, size = [], 0
         for batch in batches:
-            for text in batch.column("text"):
-                held.append(bucket(shingles(text.as_py(), hashes, words)).astype(np.int32))
-                size += len(held[-1])
-                if size >= GATHER:
-                    counts += np.bincount(np.concatenate(held), minlength=len(counts))
-                    held, size = [], 0
-        if held:
-            counts += np.bincount(np.concatenate(held), minlength=len(counts))
+            texts = batch.column("text").to_pylist()
+            for begin, end in slices(texts):
+                runs = runs_of(texts[begin:end], hashes, words)
+                counts += np.bincount(bucket(runs).astype(np.int64), minlength=len(counts))
         for at in range(0, len(counts), RANGE):
             part = counts[at : at + RANGE]
             if part.any():
+                sent = np.minimum(part, 255).astype(np.uint8).tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([at // RANGE], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["range", "counts"])
+                    [pa.array([at // RANGE], pa.int32()), pa.array([sent], pa.binary())], ["range", "counts"])
 
     def add(rows: pa.Table) -> pa.Table:
         total = np.zeros(RANGE, np.int64)
         for counts in rows.column("counts"):
-            total += np.frombuffer(counts.as_py(), np.int64)
+            total += np.frombuffer(counts.as_py(), np.uint8)
         level = np.frexp(total.astype(np.float64))[1].astype(np.uint8)
         return pa.table({"range": rows.column("range")[:1], "levels": pa.array([level.tobytes()], pa.binary())})
 
@@ -114,20 +128,26 @@ def bitmap(members: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def fold(rows: list[bytes], width: int) -> np.ndarray:
-    """Bitmaps as rows of 64-bit words, all of ``width`` bytes; halves of wider ones are laid together."""
-    out = np.empty((len(rows), width // 8), np.uint64)
-    for i, row in enumerate(rows):
-        words = np.frombuffer(row, np.uint64)
-        while len(words) > width // 8:
-            half = len(words) // 2
-            words = words[:half] | words[half:]
-        out[i] = words
-    return out
+def fold(row: bytes, width: int) -> np.ndarray:
+    """A bitmap as 64-bit words, ``width`` bytes of them; halves of a wider one are laid together."""
+    words = np.frombuffer(row, np.uint64)
+    while len(words) > width // 8:
+        half = len(words) // 2
+        words = words[:half] | words[half:]
+    return words
+
+
+def prints_of(sets: list[np.ndarray]) -> list[list]:
+    """Sizes and fingerprints of sets; the latter null for empty sets."""
+    rows = [
+        (len(s), int(s.sum().view(np.int64)), int(mix(s ^ np.uint64(len(s))).sum().view(np.int64)))
+        if len(s) else (0, None, None) for s in sets
+    ]
+    return [pa.array(column, pa.int64()) for column in zip(*rows)]
 
 
-def sets_of(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """Set, fingerprint, keys and bitmap of each document; all but the size null for empty sets."""
+def keys_of(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """Size, fingerprint, keys and bitmap of each document's set."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,24 +155,51 @@ def sets_of(docs: DataFrame, levels: np.ndarray, percent: int = PERCENT, words:
         for batch in batches:
             for begin in range(0, batch.num_rows, 500):
                 part = batch.slice(begin, 500)
-                out = []
-                for text in part.column("text"):
-                    s = shingles(text.as_py(), hashes, words)
-                    if not len(s):
-                        out.append((0, None, None, None, None, None))
-                        continue
-                    first = np.lexsort((s, order[bucket(s)]))[: n_keys(len(s), percent)]
-                    out.append((
-                        len(s), int(s.sum().view(np.int64)), int(mix(s ^ np.uint64(len(s))).sum().view(np.int64)),
-                        s[first].view(np.int64), s.tobytes(), bitmap(s)))
-                n, print1, print2, keys, members, bitmaps = zip(*out)
+                sets = [shingles(t, hashes, words) for t in part.column("text").to_pylist()]
+                keys = []
+                for s in sets:
+                    first = np.lexsort((s, order[bucket(s)]))[: n_keys(len(s), percent)] if len(s) else []
+                    keys.append(s[first].view(np.int64) if len(s) else None)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").cast(pa.int64()), *prints_of(sets), pa.array(keys, pa.list_(pa.int64())),
+                     pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())], KEYS.names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, KEYS)
+
+
+def filter_place() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit for each of the ids, at its hash; its size is fixed, whatever the number of ids."""
+    place = ids.select(filter_place().alias("place"))
+    rows = place.groupBy(F.expr(f"place div {FILTER_ROW}").alias("row")).agg(
+        F.bitmap_construct_agg(F.col("place") % FILTER_ROW).alias("bits")).collect()
+    bits = np.zeros((FILTER_BITS // FILTER_ROW, FILTER_ROW // 8), np.uint8)
+    for r in rows:
+        bits[r["row"]] = np.frombuffer(r["bits"], np.uint8)
+    return bits.reshape(-1)
+
+
+def sets_of(docs: DataFrame, wanted: np.ndarray, words: int = WORDS) -> DataFrame:
+    """Sorted set of the documents that the filter lets pass, a few others among them."""
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, bits = WordHashes(), shared.value
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            batch = batch.filter(pa.array((bits[place >> 3] >> (place & 7) & 1).astype(bool)))
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                sets = [shingles(t, hashes, words) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(print1, pa.int64()),
-                    pa.array(print2, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(members, pa.binary()), pa.array(bitmaps, pa.binary()),
+                    part.column("doc_id").cast(pa.int64()), *prints_of(sets),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
                 ], SETS.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SETS)
+    return docs.select("doc_id", "text", filter_place().alias("place")).mapInArrow(run, SETS)
 
 
 def band(n: str, percent: int) -> Column:
@@ -172,25 +219,19 @@ def overlap_bound(x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray) ->
     return np.minimum(n - left, m - right)
 
 
-def bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that may be similar by their sizes and bitmaps."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
-            for i, (x, y) in enumerate(zip(batch.column("map_a"), batch.column("map_b"))):
-                x, y = x.as_py(), y.as_py()
-                width = min(len(x), len(y))
-                x, y = fold([x], width)[0], fold([y], width)[0]
-                keep.append(bool(fit(n[i], m[i], overlap_bound(x, n[i], y, m[i]), percent)))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    def side(c: str) -> DataFrame:
-        return maps.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"map_{c}"))
-
-    sized = pairs.join(side("a"), "a").join(side("b"), "b")
-    return sized.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").mapInArrow(run, "a bigint, b bigint")
+def passing(n: np.ndarray, maps: list[bytes], x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows x and y may be similar by their bitmaps."""
+    widths = np.fromiter(map(len, maps), np.int64, len(maps))
+    narrow = np.minimum(widths[x], widths[y])
+    out = np.zeros(len(x), bool)
+    for width in np.unique(narrow):
+        pairs = np.flatnonzero(narrow == width)
+        rows, place = np.unique(np.concatenate([x[pairs], y[pairs]]), return_inverse=True)
+        folded = np.stack([fold(maps[r], int(width)) for r in rows])
+        left, right = folded[place[: len(pairs)]], folded[place[len(pairs) :]]
+        most = overlap_bound(left, n[x[pairs]], right, n[y[pairs]])
+        out[pairs] = fit(n[x[pairs]], n[y[pairs]], most, percent)
+    return out
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -216,15 +257,6 @@ def labelled(keyed: DataFrame, labels: DataFrame) -> DataFrame:
     return keyed.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 
-def leader_pairs(members: DataFrame, seed: int) -> DataFrame:
-    """Distinct pairs of one member of a key and band with its members of other components."""
-    lead = F.min_by(F.struct("class", "label"), F.xxhash64("class", F.lit(seed))).alias("lead")
-    leaders = members.groupBy("key", "band").agg(lead, F.min("label").alias("least"), F.max("label").alias("most"))
-    leaders = leaders.filter("least < most").select("key", "band", "lead")
-    return members.join(leaders, ["key", "band"]).filter("label <> lead.label").select(
-        F.least("class", "lead.class").alias("a"), F.greatest("class", "lead.class").alias("b")).distinct()
-
-
 def tile_members(members: DataFrame) -> DataFrame:
     """Members of the tiles that hold several components, once for each pair of blocks they are in.
 
@@ -247,74 +279,128 @@ def tile_members(members: DataFrame) -> DataFrame:
     )
 
 
-def tile_pairs(rows: pa.Table, percent: int) -> pa.Table:
-    """The pairs of one tile, or of two blocks of it, that may be similar."""
-    ids, labels, own, n = (rows.column(c).to_numpy() for c in ("class", "label", "own", "n"))
-    upper = rows.column("upper").to_numpy(zero_copy_only=False).astype(bool)
-    maps = rows.column("bitmap").to_pylist()
-    i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
-    maps = fold(maps, min(map(len, maps)))
-    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-    found = []
-    for x in left:
-        others = right[right > x] if i == j else right
-        sizes = n[others]
-        others = others[(labels[others] != labels[x]) & (upper[others] | upper[x])
-                        & (100 * np.minimum(sizes, n[x]) >= percent * np.maximum(sizes, n[x]))]
-        if len(others):
-            most = overlap_bound(maps[x], n[x], maps[others], n[others])
-            others = others[fit(n[x], n[others], most, percent)]
-            found.append((np.full(len(others), ids[x]), ids[others]))
-    x, y = (np.concatenate([f[side] for f in found] or [np.empty(0, np.int64)]) for side in (0, 1))
-    return pa.table({"a": pa.array(np.minimum(x, y), pa.int64()), "b": pa.array(np.maximum(x, y), pa.int64())})
-
-
-def classes_of(sets: DataFrame) -> DataFrame:
+TILE = ["key", "tile", "i", "j"]
+
+
+class Tiles:
+    """Members of some tiles, those of a tile one after the other."""
+
+    def __init__(self, rows: pa.Table):
+        self.rows = rows
+        column = lambda c: rows.column(c).to_numpy()
+        self.ids, self.labels, self.own, self.n = map(column, ("class", "label", "own", "n"))
+        self.upper = column("upper").astype(bool)
+        keys = [column(c) for c in TILE]
+        starts = np.ones(len(self.ids), bool)
+        starts[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        self.starts = np.flatnonzero(starts)
+        self.within = keys[2] == keys[3]
+        self.maps = rows.column("bitmap").to_pylist()
+
+    def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows x < y of a tile that may be similar, in strips."""
+        ends = np.append(self.starts[1:], len(self.ids))
+        behind = np.repeat(ends, ends - self.starts) - np.arange(len(self.ids)) - 1
+        upto = np.cumsum(behind)
+        begin = 0
+        while begin < len(behind):
+            before = upto[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(upto, before + STRIP, "right")))
+            x = np.repeat(np.arange(begin, end), behind[begin:end])
+            y = x + 1 + np.arange(len(x)) - (np.repeat(upto[begin:end] - behind[begin:end], behind[begin:end]) - before)
+            begin = end
+            small, large = np.minimum(self.n[x], self.n[y]), np.maximum(self.n[x], self.n[y])
+            keep = ((self.labels[x] != self.labels[y]) & (self.upper[x] | self.upper[y])
+                    & (self.within[x] | (self.own[x] != self.own[y])) & (100 * small >= percent * large))
+            x, y = x[keep], y[keep]
+            if len(x):
+                keep = passing(self.n, self.maps, x, y, percent)
+                yield x[keep], y[keep]
+
+
+def one_partner(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of rows, the one with the first partner for each row."""
+    rows, partners = np.concatenate([x, y]), np.concatenate([y, x])
+    order = np.lexsort((partners, rows))
+    _, first = np.unique(rows[order], return_index=True)
+    return rows[order[first]], partners[order[first]]
+
+
+def tile_pairs(members: DataFrame, maps: DataFrame, percent: int, one: bool) -> DataFrame:
+    """Distinct pairs (a, b) of tiles that may be similar: one for each member, or all."""
+
+    def found(tiles: Tiles) -> pa.RecordBatch:
+        pairs = [np.empty((2, 0), np.int64)]
+        for x, y in tiles.pairs(percent):
+            if one:
+                x, y = one_partner(x, y)
+            ends = np.sort([tiles.ids[x], tiles.ids[y]], axis=0)
+            pairs.append(np.unique(ends, axis=1))
+        a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, rows]) if held else rows
+            last = Tiles(held).starts[-1] if held.num_rows else 0
+            if last:  # the last tile may go on in the next batch
+                yield found(Tiles(held.slice(0, last)))
+                held = held.slice(last)
+        if held and held.num_rows:
+            yield found(Tiles(held))
+
+    rows = tile_members(members).join(maps, "class").repartition(*TILE).sortWithinPartitions(*TILE)
+    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def classes_of(prints: DataFrame) -> DataFrame:
     """(class, least, print): one row for each different set, and the smallest doc_id that has it."""
-    named = sets.filter("doc_id IS NOT NULL AND n > 0")
+    named = prints.filter("doc_id IS NOT NULL AND n > 0")
     # Written by the caller, which fixes the numbers.
     return named.groupBy(*PRINT).agg(F.min("doc_id").alias("least")).withColumn("class", F.monotonically_increasing_id())
 
 
 def shared_keys(keyed: DataFrame) -> DataFrame:
-    """The rows of keys that several classes have."""
-    several = keyed.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most"))
-    return keyed.join(several.filter("least < most").select("key"), "key")
+    """The rows of keys that are there more than once."""
+    several = keyed.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
+    return keyed.join(several.select("key"), "key")
 
 
 def ngram_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each document."""
     if not 0 < percent <= 100:
         raise ValueError("the similarity must be above 0 and at most 100 per cent")
-    sets = stage(sets_of(docs, member_levels(docs, words), percent, words), "sets")
-    classes = stage(classes_of(sets), "classes")
+    prints = stage(keys_of(docs, member_levels(docs, words), percent, words), "prints")
+    classes = stage(classes_of(prints), "classes")
     # A class is read where its smallest doc_id is; a repeated row only repeats its rows.
     rep = classes.withColumnRenamed("least", "doc_id")
     on = ["doc_id", *PRINT]
-    keyed = sets.select(*on, "keys").join(rep, on).select(F.explode("keys").alias("key"), "class", "n")
-    keyed = stage(shared_keys(keyed).withColumn("band", band("n", percent)).drop("n"), "keys")
-    wanted = rep.join(keyed.select("class").distinct(), "class", "left_semi")
-    wide = stage(sets.select(*on, "members", "bitmap").join(wanted, on).select("class", "n", "members", "bitmap"), "wanted")
-    maps, full = wide.select("class", "n", "bitmap"), wide.select("class", "members")
+    keyed = prints.join(rep, on).select(F.explode("keys").alias("key"), "class", band("n", percent).alias("band"))
+    keyed = stage(shared_keys(keyed), "keys")
+    maps = stage(prints.select(*on, "bitmap").join(rep, on).select("class", "n", "bitmap"), "maps")
+    alone = keyed.withColumn("label", F.col("class"))
+    first = stage(tile_pairs(alone, maps, percent, one=True), "pairs")
+    partners = first.select(F.col("a").alias("class")).union(first.select("b")).distinct()
+    wanted = stage(rep.join(partners, "class", "left_semi"), "wanted")
+    full = stage(sets_of(docs, id_filter(wanted), words).join(wanted, on).select("class", "members"), "sets")
 
     # A document with several texts joins their classes.
-    texts = sets.filter("doc_id IS NOT NULL AND n > 0").select("doc_id", *PRINT).join(classes.drop("least"), PRINT)
+    texts = prints.filter("doc_id IS NOT NULL AND n > 0").select(*on).join(classes.drop("least"), PRINT)
     several = texts.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b"))
     links = stage(
         texts.join(several.filter("a < b"), "doc_id").filter("class > a").select("a", F.col("class").alias("b")).distinct(),
         "links")
-    for seed in range(ROUNDS):
-        members = labelled(keyed, components(links))
-        links = links.union(stage(confirmed(bounded(leader_pairs(members, seed), maps, percent), full, percent), "links"))
-    tiles = tile_members(labelled(keyed, components(links))).join(maps, "class")
-    pairs = tiles.groupBy("key", "tile", "i", "j").applyInArrow(
-        lambda rows: tile_pairs(rows, percent), "a bigint, b bigint").distinct()
-    links = links.union(stage(confirmed(pairs, full, percent), "links"))
+    links = links.union(stage(confirmed(first, full, percent), "links"))
+    plausible = keyed.join(wanted.select("class"), "class", "left_semi")
+    rest = tile_pairs(labelled(plausible, components(links)), maps, percent, one=False)
+    links = links.union(stage(confirmed(rest, full, percent), "links"))
 
     named = labelled(classes, components(links))
     lowest = named.groupBy("label").agg(F.min("least").alias("component_id"))
     joined = named.join(lowest, "label").select(*PRINT, "component_id")
-    result = sets.select("doc_id", *PRINT).join(joined, PRINT, "left")
+    result = prints.select(*on).join(joined, PRINT, "left")
     return result.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

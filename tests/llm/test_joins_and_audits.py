@@ -192,11 +192,10 @@ def test_ngram_join_matches_all_pairs(spark):
     assert got == {d: r[:3] for d, r in want.items()} and any(not r[3] for r in want.values())
 
 
-@pytest.mark.parametrize("block,rounds,percents", [(ngram_join.BLOCK, ngram_join.ROUNDS, (85, 100)), (7, 0, (80,))])
-def test_chains_and_templates_in_large_tiles(spark, monkeypatch, block, rounds, percents):
+@pytest.mark.parametrize("block,percents", [(ngram_join.BLOCK, (85, 100)), (7, (80,))])
+def test_chains_and_templates_in_large_tiles(spark, monkeypatch, block, percents):
     """Chains whose ends are not similar, a family just under the threshold, copies; tiles cut into blocks."""
     monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
     rng = np.random.default_rng(3)
     texts = {}
     words = [f"w{i}" for i in range(200)]
@@ -245,9 +244,30 @@ def test_bitmaps_bound_the_overlap_from_above(common, a, b):
     x, y = (np.array(sorted(common | s), np.uint64) for s in (a, b))
     maps = [ngram_join.bitmap(s) for s in (x, y)]
     width = min(map(len, maps))
-    folded = ngram_join.fold(maps, width)
-    most = ngram_join.overlap_bound(folded[0], len(x), folded[1], len(y))
-    assert len(np.intersect1d(x, y)) <= most <= min(len(x), len(y))
+    most = ngram_join.overlap_bound(ngram_join.fold(maps[0], width), len(x), ngram_join.fold(maps[1], width), len(y))
+    shared = len(np.intersect1d(x, y))
+    assert shared <= most <= min(len(x), len(y))
+    similar = 100 * shared >= 80 * (len(x) + len(y) - shared)
+    n, first, second = np.array([len(x), len(y)]), np.array([0, 1]), np.array([1, 0])
+    assert not similar or ngram_join.passing(n, maps, first, second, 80).all()
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.integers(1, 9), min_size=1, max_size=12), st.integers(1, 30))
+def test_strips_hold_every_pair_of_a_tile_once(sizes, strip):
+    keys = [k for k, size in enumerate(sizes) for _ in range(size)]
+    n = len(keys)
+    same = ngram_join.bitmap(np.array([1], np.uint64))
+    table = ngram_join.pa.table({
+        "key": np.array(keys, np.int64), "tile": np.zeros(n, np.int32), "i": np.zeros(n, np.int64), "j": np.zeros(n, np.int64),
+        "class": np.arange(n), "label": np.arange(n), "own": np.zeros(n, np.int64), "n": np.ones(n, np.int64),
+        "upper": np.ones(n, bool), "bitmap": ngram_join.pa.array([same] * n, ngram_join.pa.binary())})
+    before, ngram_join.STRIP = ngram_join.STRIP, strip
+    try:
+        got = [p for x, y in ngram_join.Tiles(table).pairs(80) for p in zip(x.tolist(), y.tolist())]
+    finally:
+        ngram_join.STRIP = before
+    assert sorted(got) == [(x, y) for x in range(n) for y in range(x + 1, n) if keys[x] == keys[y]]
 
 
 @settings(deadline=None, max_examples=200)
