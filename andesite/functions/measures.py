@@ -49,6 +49,7 @@ def json_num_or_zero(c: str | Column) -> Column:
     text = F.try_variant_get(v, "$", "string")
     return (
         F.when(v.isNull() | F.is_variant_null(v), F.lit(0.0))
+        .when(kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), F.try_variant_get(v, "$", "double"))
         .when(kind == "STRING", num_or_zero(text))
         .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double"))
         .when(text.isin("[]", "{}"), F.lit(0.0))

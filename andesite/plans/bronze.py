@@ -11,7 +11,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from andesite import registry as R
-from andesite.functions.measures import json_num_or_zero
 from andesite.functions.semistructured import field_or
 from andesite.functions.text import compose_id, flow_desc
 from andesite.operators.joins import enrich_from_registry, lookup_or_code
@@ -105,8 +104,8 @@ def trade_records(
         F.col("year").cast("string").alias("year"),
         text("cmdCode", "TOTAL").alias("cmd_code"),
         text("cmdDescE", "Total").alias("cmd_desc"),
-        json_num_or_zero("fields.primaryValue").alias("trade_value"),
-        json_num_or_zero("fields.netWgt").alias("net_weight"),
+        F.col("numbers.primaryValue").alias("trade_value"),
+        F.col("numbers.netWgt").alias("net_weight"),
         "item",
     )
     named = lookup_or_code(read, partners, "partner_code", "partner").withColumn(

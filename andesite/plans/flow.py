@@ -23,7 +23,9 @@ from andesite.sinks.tables import (
     staged,
     upsert_by_key,
 )
+from andesite.sources.landing import UNREADABLE, Pickup, pick_up
 from andesite.sources.responses import (
+    envelopes,
     load_envelopes,
     parse_data_rows,
     parse_meta_rows,
@@ -43,7 +45,8 @@ BRONZE_PARTITIONS = {
 class FlowConfig:
     """Where the responses lie and where the results go.
 
-    ``jdbc`` maps a gold table to the options of its serving copy; ``snapshots`` and
+    With ``ledger``, the folder of the files loaded so far, only files that landed or changed since
+    are read; without it all files are.  ``jdbc`` maps a gold table to the options of its serving copy; ``snapshots`` and
     ``errors`` are base paths, left out when None.  Errors are counted in any case, and a copy of
     them that is asked for must succeed.
     """
@@ -59,6 +62,7 @@ class FlowConfig:
     snapshots: str | None = None
     errors: str | None = None
     staging: str | None = None
+    ledger: str | None = None
     jdbc: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
 
@@ -113,11 +117,30 @@ def _with_registry(raw: DataFrame, registry: DataFrame) -> DataFrame:
     return raw.join(registry, "id", "left").withColumn("_known", F.col("name").isNotNull())
 
 
+def _landed(
+    spark: SparkSession, cfg: FlowConfig, source: str, path: str, request: tuple[str, ...],
+    load: Callable[[DataFrame], dict],
+) -> dict:
+    """Load a source's responses: those of all files, or of the files that its ledger does not hold."""
+    if cfg.ledger is None:
+        return load(load_envelopes(spark, path, request))
+    loaded = {"accepted": 0, OUTSIDE: 0, "rejected": {}}
+
+    def store(found: Pickup) -> None:
+        loaded.update(load(envelopes(found.rows, request)))
+        unread = found.unreadable.count()
+        if unread:
+            loaded["rejected"][UNREADABLE] = unread
+
+    files = pick_up(spark, path, f"{cfg.ledger}/{source}", store, cfg.run_ts)
+    return {"files": files, **loaded}
+
+
 def ingest_sources(spark: SparkSession, cfg: FlowConfig) -> tuple[dict[str, dict], dict[str, str]]:
     """Load the three sources: what became of their rows, and which failed; the others go on."""
 
-    def series() -> dict:
-        lines = _with_registry(load_envelopes(spark, cfg.series_path), R.series_registry(spark))
+    def series(raw: DataFrame) -> dict:
+        lines = _with_registry(raw, R.series_registry(spark))
         # A label whose day cannot be read is left to the silver step, which reports it.
         return _ingest(
             spark, cfg, "bcrp_indicators", lines, parse_period_series,
@@ -125,17 +148,17 @@ def ingest_sources(spark: SparkSession, cfg: FlowConfig) -> tuple[dict[str, dict
             lambda rows: bronze.series_records(rows, cfg.run_ts), ("id",), ("category", "id"),
         )
 
-    def annual() -> dict:
-        lines = _with_registry(load_envelopes(spark, cfg.annual_path), R.annual_registry(spark))
+    def annual(raw: DataFrame) -> dict:
+        lines = _with_registry(raw, R.annual_registry(spark))
         return _ingest(
             spark, cfg, "worldbank_indicators", lines, parse_meta_rows,
             in_years(R.ANNUAL_YEARS, F.col("fields.date")),
             lambda rows: bronze.annual_records(rows, cfg.run_ts), ("id",), ("category", "id"),
         )
 
-    def trade() -> dict:
-        request = ("flow_code", "year")
-        raw = load_envelopes(spark, cfg.trade_path, request)
+    request = ("flow_code", "year")
+
+    def trade(raw: DataFrame) -> dict:
         known = F.coalesce(F.col("flow_code").isin([code for code, _ in R.FLOW_NAMES]), F.lit(False))
         partners = R.partner_registry(spark)
         return _ingest(
@@ -145,9 +168,14 @@ def ingest_sources(spark: SparkSession, cfg: FlowConfig) -> tuple[dict[str, dict
         )
 
     loaded, failures = {}, {}
-    for name, load in (("series", series), ("annual", annual), ("trade", trade)):
+    sources = (
+        ("series", cfg.series_path, ("id",), series),
+        ("annual", cfg.annual_path, ("id",), annual),
+        ("trade", cfg.trade_path, request, trade),
+    )
+    for name, path, keys, load in sources:
         try:
-            loaded[name] = load()
+            loaded[name] = _landed(spark, cfg, name, path, keys, load)
         except SPARK_ERRORS as e:
             failures[name] = str(e)
     return loaded, failures

@@ -179,6 +179,102 @@ def upsert_by_key(
                 _spread(merged, partitions).write.insertInto(table, overwrite=True)
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _files_below(fs, folder) -> list:
+    found, each = [], fs.listFiles(folder, True)
+    while each.hasNext():
+        found.append(each.next().getPath())
+    return found
+
+
+def finish_upserts(spark: SparkSession, path: str) -> int:
+    """Complete the upserts of a folder that were cut off after their commit, and discard those before it.
+
+    An upsert is committed when the list of the files it replaces is complete.  Completing it moves
+    its new files in and deletes the replaced ones; every step may be repeated.
+    """
+    fs, folder = _file_system(spark, path)
+    below = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    made = spark._jvm.org.apache.hadoop.fs.Path
+    finished = 0
+    for new in (p for p in below if p.getName().startswith("_upsert-")):
+        replaced = made(folder, new.getName().replace("_upsert-", "_replaced-"))
+        if fs.exists(made(replaced, "_SUCCESS")):
+            for file in _files_below(fs, new):
+                inner = file.toUri().getPath()[len(new.toUri().getPath()) + 1 :]
+                if not file.getName().startswith(("_", ".")):
+                    target = made(folder, inner)
+                    fs.mkdirs(target.getParent())
+                    if not fs.rename(file, target):
+                        raise OSError(f"cannot move {file} to {target}")
+            for row in spark.read.schema("path string").json(replaced.toString()).collect():
+                fs.delete(made(row.path), False)
+            finished += 1
+        fs.delete(new, True)
+        fs.delete(replaced, True)
+    for left in (p for p in below if p.getName().startswith("_replaced-")):
+        fs.delete(left, True)
+    spark.catalog.refreshByPath(path)
+    return finished
+
+
+def upsert_files(
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    partitions: Sequence[str] = (),
+    staging: str | None = None,
+) -> int:
+    """Write rows over those of equal key in a folder of Parquet files, add the others.
+
+    Only files that hold a key of the batch are rewritten, whatever the size of their partition: the
+    batch is semi-joined to the keys of the files, read with the path of their file and narrowed by
+    the least and greatest keys of the batch, so row groups outside them are skipped.  Returns how many
+    files were replaced; their names pass through the driver.
+
+    The new files are written beside the table, then the list of the replaced ones, then the new ones
+    are moved in and the old ones deleted.  ``finish_upserts``, which every upsert runs first,
+    completes what was cut off.  Readers may see both versions of a row between the last two
+    steps.  One upsert at a time may work on a folder.
+    """
+    if not set(partitions) <= set(keys):
+        raise ValueError(f"partition columns {list(partitions)} must be among {list(keys)}")
+    finish_upserts(spark, path)
+    schema = spark.read.parquet(path).schema
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+    name = uuid.uuid4().hex
+    with staged(latest(df.select(*columns), keys, order_by), staging) as winners:
+        ends = [F.struct(F.min(k).alias("least"), F.max(k).alias("most"), F.count_if(F.col(k).isNull()).alias("nulls")).alias(k)
+                for k in keys]
+        bounds = winners.agg(*ends).first()
+        table = spark.read.schema(schema).parquet(path)
+        if all(b["least"] is None and not b["nulls"] for b in bounds):
+            return 0
+        near = table.select(*keys, F.col("_metadata.file_path").alias("_file"))
+        for k, b in zip(keys, bounds):
+            if not b["nulls"]:
+                near = near.filter(F.col(k).between(F.lit(b["least"]), F.lit(b["most"])))
+        wanted = winners.select(*[F.col(k).alias(f"_in_{k}") for k in keys])
+        hit = near.join(wanted, same_values(near, wanted, keys), "left_semi").select("_file").distinct()
+        old = sorted(r[0] for r in hit.collect())
+        paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(o)).toString() for o in old]
+        touched = spark.read.schema(schema).option("basePath", path).parquet(*paths) if old else table.limit(0)
+        writer = _spread(merge(touched, winners, keys), partitions).write
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        writer.parquet(f"{path}/_upsert-{name}")
+        listed = spark.createDataFrame([(p,) for p in paths], "path string").coalesce(1)
+        listed.write.json(f"{path}/_replaced-{name}")
+    finish_upserts(spark, path)
+    return len(old)
+
+
 def jdbc_overwrite(df: DataFrame, jdbc: Mapping[str, str]) -> None:
     """Replace a database table, keeping its definition (keys, types, indexes) when it exists.
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from andesite.functions.measures import is_bad_json_number
+from andesite.functions.measures import json_num_or_zero
 from andesite.functions.semistructured import (
     computed_once,
     field,
@@ -28,6 +28,7 @@ META_FIELDS = "date string, value string, unit string, country struct<value: str
 DATA_FIELDS = (
     "partnerCode string, cmdCode string, cmdDescE string, primaryValue variant, netWgt variant"
 )
+NUMBERS = ("primaryValue", "netWgt")
 NOT_AN_OBJECT = "row is not an object"
 NO_RESPONSE_OBJECT = "response is not an object"
 NO_RESPONSE_LIST = "response is not a list"
@@ -44,8 +45,13 @@ def load_envelopes(spark: SparkSession, path: str, keys: Sequence[str] = ("id",)
 
     Lines split over tasks, so one large file (or one busy source) spreads over the cluster.
     """
-    lines = spark.read.text(path).select(F.col("value").alias("text"))
-    return with_json(lines, "text", "doc").select(
+    return envelopes(spark.read.text(path), keys)
+
+
+def envelopes(lines: DataFrame, keys: Sequence[str] = ("id",), text: str = "value") -> DataFrame:
+    """Response frame from lines of text that are read already."""
+    named = lines.select(F.col(text).alias("text"))
+    return with_json(named, "text", "doc").select(
         *[field("doc", f"$.{k}").alias(k) for k in keys],
         "text",
         F.try_variant_get("doc", "$.response", "variant").alias("payload"),
@@ -64,6 +70,16 @@ def load_response_files(
     return responses_from(files, "value", keys)
 
 
+def spread(raw: DataFrame) -> DataFrame:
+    """Rows of fewer files than there are cores, dealt over the cores.
+
+    Expanding a response costs far more than shipping its text, and one row group is read by one
+    task.  Frames of many files stay as they are, so nothing of size is shuffled.
+    """
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    return raw.repartition(cores) if len(raw.inputFiles()) < cores else raw
+
+
 def _keys(raw: DataFrame) -> list[str]:
     return [c for c in raw.columns if c not in ("text", "payload")]
 
@@ -157,20 +173,21 @@ def parse_meta_rows(raw: DataFrame) -> DataFrame:
 
 
 def parse_data_rows(raw: DataFrame) -> DataFrame:
-    """Flatten ``{data: [...]}`` to (keys, item, fields).
+    """Flatten ``{data: [...]}`` to (keys, item, fields, numbers).
 
     ``item`` is the whole row; ``fields`` has partner and product as text, value and weight
-    as JSON values.  A
-    response without ``data`` has no rows.  A row whose value or weight is present but no
-    number is rejected.
+    as JSON values, and ``numbers`` the latter two as doubles.  A response without ``data`` has no
+    rows.  A row whose value or weight is present but no number is rejected.
     """
     keys = _keys(raw)
     rows = _explode_items(raw, keys, "$.data", "data", NO_RESPONSE_OBJECT)
     read = _read_fields(rows, keys, DATA_FIELDS)
+    numbers = F.struct(*[json_num_or_zero(f"fields.{name}").alias(name) for name in NUMBERS])
+    numbered = read.select(*read.columns, computed_once(numbers).alias("numbers"))
     unread = F.when(F.col("item").isNotNull() & F.col("fields").isNull(), F.lit(NOT_AN_OBJECT))
-    for name in ("primaryValue", "netWgt"):
-        unread = unread.when(is_bad_json_number(f"fields.{name}"), F.lit(f"{name} is not a number"))
-    return _reject(read, unread)
+    for name in NUMBERS:
+        unread = unread.when(F.col(f"numbers.{name}").isNull(), F.lit(f"{name} is not a number"))
+    return _reject(numbered, unread)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

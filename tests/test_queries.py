@@ -76,6 +76,8 @@ def test_costly_columns_are_computed_once(spark, capsys):
     assert plan.count("Contains(period") == 12
     plan = plan_of(QUERIES["bronze_trade_documents"](spark, SF_DIR), capsys)
     assert plan.count("StructField(partnerCode") == 1 and plan.count("parseJson(") == 1
+    kinds = [line for line in plan.splitlines() if re.search("schema_?of_?variant", line, re.IGNORECASE)]
+    assert len(kinds) == 1 and "Generate" in kinds[0]
 
 
 def test_monthly_fact_shuffles_twice_and_prunes_columns(spark, capsys):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,3 +28,9 @@ def case(sql: str) -> Callable[[Query], Query]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+
+def new_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share; where the session names none (tests), a local one."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="andesite-shared-"))
+    return f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/query-{uuid.uuid4().hex}"

@@ -160,7 +160,7 @@ WHERE trade_value > 0
 """
 
 
-def period_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def period_responses(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
     """One period-series response per order, with three periods, one or none.
 
     The first period has an object value and a bare one, the second no value, the third two
@@ -186,7 +186,7 @@ def period_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((F.col("o_orderstatus") == "P") & (price < 150000), F.concat(text, tail))
         .otherwise(text)
     )
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").filter(where).select(
         F.col("o_orderpriority").alias("id"), landed.alias("response")
     )
 

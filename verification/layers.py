@@ -20,7 +20,7 @@ from andesite.plans.gold import (
 from andesite.plans.silver import clean_annual, clean_series, clean_trade, unify_indicators
 from andesite.schemas import INDICATORS
 from andesite.sources.relations import empty_like, literal_table
-from andesite.sources.responses import responses_from
+from andesite.sources.responses import responses_from, spread
 from verification import inputs as I
 from verification.case import case, table
 
@@ -72,7 +72,7 @@ FROM ({I.TRADE_ROWS})
      LEFT JOIN supplier ON s_suppkey = CAST(partner_code AS BIGINT)
 """)
 def bronze_trade_documents(spark: SparkSession, d: str) -> DataFrame:
-    raw = responses_from(I.trade_responses(spark, d), keys=("flow_code", "year"))
+    raw = responses_from(spread(I.trade_responses(spark, d)), keys=("flow_code", "year"))
     partners = table(spark, d, "supplier").select(
         F.col("s_suppkey").cast("int").alias("code"), F.col("s_name").alias("name")
     )
