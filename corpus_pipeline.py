@@ -30,12 +30,23 @@ NEAR_PERCENT = 80
 BUDGET_SHARE, MAX_REPEATS = 0.8, 1.0
 
 
+# Rows and bytes of the batches in which texts go to Python and come back.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def _small_batches(spark: SparkSession) -> None:
+    for name, value in BATCH.items():
+        spark.conf.set(name, value)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     model = langid.train(docs.filter(~langid.held_out()))
     return langid.keep_known(docs, model, MAIN_LANGUAGE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return near_dup.drop_near_duplicates(docs, NEAR_PERCENT)
 
 
