@@ -14,10 +14,11 @@ their sets have a Jaccard similarity of at least ``percent`` per cent.
    as a band's sizes grow by ``100 / percent``.
 4. In a tile, pairs of fitting sizes are compared by their bitmaps.  A bit that one has and the other
    lacks is a member that the other lacks, so bit counts bound the overlap from above.  Wide bitmaps are
-   folded to the narrower's width.  Each class names one partner per tile that it may be similar to.
+   folded to the narrower's width.  Each class names one partner that it may be similar to.
 5. A third pass makes the sorted sets of the classes with a partner alone, chosen by ``FILTER_BITS`` bits
    of their hashed ids, so no text is ever shuffled.  The pairs are confirmed by exact intersection of
-   the sorted sets, and links join components.
+   the sorted sets, and links join components.  ``ROUNDS`` more rounds do the same for partners of another
+   component.  This changes no result: it leaves fewer tiles for step 6.
 6. In tiles that still hold several components all pairs of different components are compared by their
    bitmaps, and those that pass are confirmed.  Pairs within a component are not needed for the result.
 
@@ -51,6 +52,7 @@ NARROWEST, WIDEST = 256, 8192
 # Bits of the filter that chooses documents for the third pass, and bits of a row of it.
 FILTER_BITS, FILTER_ROW = 1 << 24, 1 << 15
 BLOCK = 2048
+ROUNDS = 1
 # Pairs compared at once.
 STRIP = 1 << 18
 
@@ -267,19 +269,21 @@ def tile_members(members: DataFrame) -> DataFrame:
     placed = upper.unionByName(lower)
     tiles = placed.groupBy("key", "tile").agg(
         F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("members"),
-        F.count_if("upper").alias("uppers"))
+        F.count_if("upper").alias("uppers"), F.min("class").alias("lead"))
     mixed = tiles.filter("least < most AND uppers > 0").select(
-        "key", "tile", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+        "key", "tile", "lead", F.ceil(F.col("members") / BLOCK).alias("blocks"))
     # A member of block i is in the groups (i, j) and (j, i) of its tile.
     return (
         placed.join(mixed, ["key", "tile"]).withColumn("own", F.pmod(F.xxhash64("class"), "blocks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        .select("key", "tile", "class", "label", "upper", "own",
+        .select("lead", "key", "tile", "class", "label", "upper", "own",
                 F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
 
 
-TILE = ["key", "tile", "i", "j"]
+# Tiles with the same smallest class have much the same members, so they are handled by one task.
+PLACE = ["lead", "i", "j"]
+TILE = [*PLACE, "key", "tile"]
 
 
 class Tiles:
@@ -294,7 +298,8 @@ class Tiles:
         starts = np.ones(len(self.ids), bool)
         starts[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
         self.starts = np.flatnonzero(starts)
-        self.within = keys[2] == keys[3]
+        self.within = keys[1] == keys[2]
+        self.place = np.stack(keys[:3])
         self.maps = rows.column("bitmap").to_pylist()
 
     def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -318,41 +323,70 @@ class Tiles:
                 yield x[keep], y[keep]
 
 
-def one_partner(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of pairs of rows, the one with the first partner for each row."""
-    rows, partners = np.concatenate([x, y]), np.concatenate([y, x])
-    order = np.lexsort((partners, rows))
-    _, first = np.unique(rows[order], return_index=True)
-    return rows[order[first]], partners[order[first]]
+def partners(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that may be similar: one for each member that has a partner of another component."""
 
-
-def tile_pairs(members: DataFrame, maps: DataFrame, percent: int, one: bool) -> DataFrame:
-    """Distinct pairs (a, b) of tiles that may be similar: one for each member, or all."""
-
-    def found(tiles: Tiles) -> pa.RecordBatch:
-        pairs = [np.empty((2, 0), np.int64)]
+    def smallest(tiles: Tiles) -> np.ndarray:
+        """Place, member and smallest partner, once for each member of a place."""
+        found = [np.empty((5, 0), np.int64)]
         for x, y in tiles.pairs(percent):
-            if one:
-                x, y = one_partner(x, y)
-            ends = np.sort([tiles.ids[x], tiles.ids[y]], axis=0)
-            pairs.append(np.unique(ends, axis=1))
-        a, b = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            both, other = np.concatenate([x, y]), np.concatenate([y, x])
+            found.append(_first_of(np.vstack([tiles.place[:, both], tiles.ids[both], tiles.ids[other]])))
+        return _first_of(np.concatenate(found, axis=1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            held = pa.concat_tables([held, rows]) if held else rows
-            last = Tiles(held).starts[-1] if held.num_rows else 0
-            if last:  # the last tile may go on in the next batch
-                yield found(Tiles(held.slice(0, last)))
-                held = held.slice(last)
-        if held and held.num_rows:
-            yield found(Tiles(held))
+        named = np.empty((4, 0), np.int64)  # members of the last place that have been named already
+        for tiles in whole_tiles(batches):
+            rows = smallest(tiles)
+            named = named[:, (named[:3] == tiles.place[:, :1]).all(0)]
+            rows = rows[:, ~np.isin(rows[3], named[3]) | (rows[:3] != tiles.place[:, :1]).any(0)]
+            last = rows[:4, (rows[:3] == tiles.place[:, -1:]).all(0)]
+            same = (tiles.place[:, 0] == tiles.place[:, -1]).all()
+            named = np.concatenate([named, last], axis=1) if same else last
+            yield pa.RecordBatch.from_arrays([pa.array(rows[3], pa.int64()), pa.array(rows[4], pa.int64())], ["class", "partner"])
+
+    named = placed_tiles(members, maps).mapInArrow(run, "class bigint, partner bigint")
+    one = named.groupBy("class").agg(F.min("partner").alias("partner"))
+    return one.select(F.least("class", "partner").alias("a"), F.greatest("class", "partner").alias("b")).distinct()
+
+
+def _first_of(rows: np.ndarray) -> np.ndarray:
+    """Columns of which all rows but the last differ, with the smallest last row."""
+    rows = rows[:, np.lexsort(rows[::-1])]
+    first = np.ones(rows.shape[1], bool)
+    first[1:] = (rows[:-1, 1:] != rows[:-1, :-1]).any(0)
+    return rows[:, first]
+
+
+def whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[Tiles]:
+    """The tiles of sorted rows; one that goes on in the next batch is held back."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, rows]) if held else rows
+        last = Tiles(held).starts[-1] if held.num_rows else 0
+        if last:
+            yield Tiles(held.slice(0, last))
+            held = held.slice(last)
+    if held and held.num_rows:
+        yield Tiles(held)
+
+
+def placed_tiles(members: DataFrame, maps: DataFrame) -> DataFrame:
+    rows = tile_members(members).join(maps, "class")
+    return rows.repartition(*PLACE).sortWithinPartitions(*TILE)
+
+
+def all_pairs(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of members of different components that may be similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tiles in whole_tiles(batches):
+            found = [np.unique(np.sort([tiles.ids[x], tiles.ids[y]], axis=0), axis=1) for x, y in tiles.pairs(percent)]
+            a, b = np.unique(np.concatenate([np.empty((2, 0), np.int64), *found], axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    rows = tile_members(members).join(maps, "class").repartition(*TILE).sortWithinPartitions(*TILE)
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    return placed_tiles(members, maps).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def classes_of(prints: DataFrame) -> DataFrame:
@@ -381,9 +415,9 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS
     keyed = stage(shared_keys(keyed), "keys")
     maps = stage(prints.select(*on, "bitmap").join(rep, on).select("class", "n", "bitmap"), "maps")
     alone = keyed.withColumn("label", F.col("class"))
-    first = stage(tile_pairs(alone, maps, percent, one=True), "pairs")
-    partners = first.select(F.col("a").alias("class")).union(first.select("b")).distinct()
-    wanted = stage(rep.join(partners, "class", "left_semi"), "wanted")
+    first = stage(partners(alone, maps, percent), "pairs")
+    paired = first.select(F.col("a").alias("class")).union(first.select("b")).distinct()
+    wanted = stage(rep.join(paired, "class", "left_semi"), "wanted")
     full = stage(sets_of(docs, id_filter(wanted), words).join(wanted, on).select("class", "members"), "sets")
 
     # A document with several texts joins their classes.
@@ -394,7 +428,10 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS
         "links")
     links = links.union(stage(confirmed(first, full, percent), "links"))
     plausible = keyed.join(wanted.select("class"), "class", "left_semi")
-    rest = tile_pairs(labelled(plausible, components(links)), maps, percent, one=False)
+    for _ in range(ROUNDS):
+        more = partners(labelled(plausible, components(links)), maps, percent)
+        links = links.union(stage(confirmed(more, full, percent), "links"))
+    rest = all_pairs(labelled(plausible, components(links)), maps, percent)
     links = links.union(stage(confirmed(rest, full, percent), "links"))
 
     named = labelled(classes, components(links))

@@ -259,7 +259,7 @@ def test_strips_hold_every_pair_of_a_tile_once(sizes, strip):
     n = len(keys)
     same = ngram_join.bitmap(np.array([1], np.uint64))
     table = ngram_join.pa.table({
-        "key": np.array(keys, np.int64), "tile": np.zeros(n, np.int32), "i": np.zeros(n, np.int64), "j": np.zeros(n, np.int64),
+        "lead": np.zeros(n, np.int64), "key": np.array(keys, np.int64), "tile": np.zeros(n, np.int32), "i": np.zeros(n, np.int64), "j": np.zeros(n, np.int64),
         "class": np.arange(n), "label": np.arange(n), "own": np.zeros(n, np.int64), "n": np.ones(n, np.int64),
         "upper": np.ones(n, bool), "bitmap": ngram_join.pa.array([same] * n, ngram_join.pa.binary())})
     before, ngram_join.STRIP = ngram_join.STRIP, strip
