@@ -1,22 +1,19 @@
 """Token ids of whole texts from a public byte-level vocabulary.
 
-``TokenIds`` gives exactly the ids of the vocabulary's own tokenizer (tests compare the two).  Words
-repeat, so it encodes each blank-separated chunk once and remembers its ids: a pre-token never
-crosses a blank that follows a character other than white space.  Texts with other blanks are
-encoded as a whole.
+``TokenIds`` gives exactly the ids of the vocabulary's own tokenizer (tests compare the two).  Each
+text is encoded in one call; nothing is remembered between texts.
 """
 
 from __future__ import annotations
 
 import base64
 import json
+import sys
+from array import array
 
-import numpy as np
 import public_tokenizers
 import tiktoken
 
-# Chunks a worker remembers before it forgets them all; it bounds memory and changes no result.
-MEMORY_CHUNKS = 250_000
 END_OF_DOCUMENT = b"\0\0\0\0"
 
 
@@ -46,21 +43,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
     }
 
 
-class _Chunks(dict):
-    """Ids of a chunk as little-endian 32-bit numbers; None if a chunk may not be cut behind it."""
-
-    def __init__(self, encoding: tiktoken.Encoding, prefix: str, last: bool = False):
-        self.encode, self.prefix, self.last = encoding.encode_ordinary, prefix, last
-
-    def __missing__(self, chunk: str) -> bytes | None:
-        if len(self) >= MEMORY_CHUNKS:
-            self.clear()
-        whole = self.last or (chunk and not chunk[-1].isspace())
-        ids = np.array(self.encode(self.prefix + chunk), "<u4").tobytes() if whole else None
-        self[chunk] = ids
-        return ids
-
-
 class TokenIds:
     """Encodes texts with the vocabulary at ``path``."""
 
@@ -71,9 +53,6 @@ class TokenIds:
             "public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(path),
             special_tokens={},
         )
-        self.heads = _Chunks(self.encoding, "")
-        self.inner = _Chunks(self.encoding, " ")
-        self.lasts = _Chunks(self.encoding, " ", last=True)
 
     @classmethod
     def at(cls, path: str) -> TokenIds:
@@ -86,13 +65,7 @@ class TokenIds:
         """The ids of a text as little-endian unsigned 32-bit numbers; none if null or empty."""
         if not text:
             return b""
-        head, *rest = text.split(" ")
-        if rest:
-            inner = self.inner
-            try:
-                return b"".join(
-                    [self.heads[head], *[inner[c] for c in rest[:-1]], self.lasts[rest[-1]]]
-                )
-            except TypeError:  # a chunk that may not be cut there
-                pass
-        return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
+        ids = array("I", self.encoding.encode_ordinary(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
