@@ -8,9 +8,14 @@ card   13 to 19 digits, single blanks or hyphens between them, that pass Luhn
 phone  ``+`` and 9 to 15 digits with blanks, brackets, dots and hyphens between them
 
 A match that fails its test is dropped and the search goes on behind it.  The further kinds need
-more evidence than their pattern, and a span of theirs that overlaps a base span is dropped:
-
-iban   two letters, two digits and a rest that pass mod 97; the longest end that passes counts
+more evidence than their pattern.  A span of theirs that overlaps a base span is dropped, unless mod 97
+or the fixed form of a key confirms it:
+
+iban   two letters, two digits and a rest that pass mod 97; the longest end that passes counts, and
+       the search goes on behind it, or one character after a start that fails
+key    access keys and signed tokens of a fixed form, and private key blocks
+secret a run of 16 to 200 characters with letters and digits, whose characters have an entropy of at
+       least ``LEAST_ENTROPY`` bits, with a word of its context nearby
 ssn    ``ddd-dd-dddd`` with a word of its context nearby
 local  a ten-digit phone number without ``+`` with a word of its context nearby
 
@@ -19,32 +24,41 @@ kind stands within ``CONTEXT`` characters on either side.  Scores never remove b
 
 Null and empty texts have no spans.  Rows are independent, so ties, repeated rows, null ids and
 further columns of any name change nothing; an empty table gives an empty result.  Searches are
-linear in the text: runs that could be scanned again from each of their characters are not.
+linear in the text: runs that could be scanned again from each of their characters are not, and
+where a proposal is tried again from its next character its length is bounded.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "ssn", "local")
+KINDS = (*BASE_KINDS, "iban", "key", "secret", "ssn", "local")
 CONTEXT = 40
 # Score of the pattern with its checksum, what a context word adds, and the least score that stays.
 PATTERN_SCORE = {
-    "email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "ssn": 0.4, "local": 0.4,
+    "email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "key": 0.9,
+    "secret": 0.4, "ssn": 0.4, "local": 0.4,
 }
 CONTEXT_SCORE = 0.2
 LEAST_SCORE = 0.5
+LEAST_ENTROPY = 3.0
 CONTEXT_WORDS = {
     "email": ("mail", "contact", "write"),
     "ip": ("ip", "address", "host", "server"),
     "card": ("card", "visa", "mastercard", "payment", "credit"),
     "phone": ("phone", "tel", "call", "mobile", "fax"),
     "iban": ("iban", "account", "bank", "transfer"),
+    "key": ("key", "token", "secret", "credential"),
+    "secret": ("key", "token", "secret", "credential", "password", "passwd", "pwd", "bearer"),
     "ssn": ("ssn", "social security", "tax id"),
     "local": ("phone", "tel", "call", "mobile", "fax"),
 }
@@ -54,10 +68,20 @@ NEARBY = {
 }
 LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+# A match can only start where a run of digits does: from within the run the rest is the same.
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![a-z0-9])")
+KEY_MARKS = ("AKIA", "ASIA", "AIza", "eyJ", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "_live_", "_test_", "PRIVATE KEY")
+KEY = re.compile(
+    r"(?<![A-Za-z0-9_-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|AIza[A-Za-z0-9_-]{35}|gh[pousr]_[A-Za-z0-9]{36,250}"
+    r"|xox[abprs]-[A-Za-z0-9-]{10,250}|[prs]k_(?:live|test)_[A-Za-z0-9]{16,250}"
+    r"|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)(?![A-Za-z0-9_-])"
+    r"|-----BEGIN (?:[A-Z0-9]{1,20}\x20){0,3}PRIVATE KEY-----[A-Za-z0-9+/=\s]*+"
+    r"(?:-----END (?:[A-Z0-9]{1,20}\x20){0,3}PRIVATE KEY-----)?"
+)
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,200}={0,2}(?![A-Za-z0-9+/_=-])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 LOCAL = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -119,6 +143,31 @@ def _iban_end(m: re.Match) -> int | None:
     return None
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    at = 0
+    while m := IBAN.search(text, at):
+        end = _iban_end(m)
+        if end:
+            yield m.start(), end
+        at = end or m.start() + 1
+
+
+def _secret_ok(s: str) -> bool:
+    if s.isalpha() or s.isdigit() or not any(map(str.isdigit, s)) or not any(map(str.isalpha, s)):
+        return False
+    n = len(s)
+    return -sum(c / n * math.log2(c / n) for c in Counter(s).values()) >= LEAST_ENTROPY
+
+
+def _apart(added: list[tuple[str, int, int]], taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The added spans that overlap none of the taken ones."""
+    borders = sorted((start, end) for _, start, end in taken)
+    starts = [start for start, _ in borders]
+    furthest = list(accumulate((end for _, end in borders), max))
+    # Of the spans that start before x ends, none may end behind the start of x.
+    return [x for x in added if not (n := bisect_left(starts, x[2])) or furthest[n - 1] <= x[1]]
+
+
 def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
     """The spans of a text by kind as listed, then start; code points, end exclusive."""
     if not text:
@@ -128,12 +177,15 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
     proposed += [("card", *m.span()) for m in CARD.finditer(text) if _card_ok(m.group())]
     if "+" in text:
         proposed += [("phone", *m.span()) for m in PHONE.finditer(text) if _phone_ok(m.group())]
-    added = [("iban", m.start(), end) for m in IBAN.finditer(text) if (end := _iban_end(m))]
+    sure = [("iban", *s) for s in ibans(text)]
+    if any(mark in text for mark in KEY_MARKS):
+        sure += [("key", *m.span()) for m in KEY.finditer(text)]
+    added = [("secret", *m.span()) for m in SECRET.finditer(text) if _secret_ok(m.group())]
     added += [("ssn", *m.span()) for m in SSN.finditer(text)]
     added += [("local", *m.span()) for m in LOCAL.finditer(text)]
+    proposed += sure
     if added:
-        base = sorted((start, end) for _, start, end in proposed)
-        proposed += [x for x in added if not any(s < x[2] and x[1] < e for s, e in base)]
+        proposed += _apart(added, proposed)
     found = []
     for kind, start, end in proposed:
         before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
