@@ -146,9 +146,10 @@ def _em(like: np.ndarray, top: np.ndarray, starts: np.ndarray, sizes: np.ndarray
     return share, np.add.reduceat(logs, starts)
 
 
-def infer(texts: list[str | None], model: Model) -> list[tuple[str, float, str]]:
-    """Language, score and the chosen set with proportions of each text."""
-    found: list[tuple[str, float, str]] = [(UNKNOWN, 0.0, "")] * len(texts)
+def infer(texts: list[str | None], model: Model) -> list[tuple[str, float, str, float]]:
+    """Language, score, the chosen set with proportions, and what that set has in the text's proportions
+    over all languages."""
+    found: list[tuple[str, float, str, float]] = [(UNKNOWN, 0.0, "", 0.0)] * len(texts)
     buckets, begin, sizes = ngrams(texts)
     known = np.flatnonzero(sizes)
     if not len(known) or not model.languages:
@@ -181,7 +182,7 @@ def infer(texts: list[str | None], model: Model) -> list[tuple[str, float, str]]
         share = best_share[i]
         chosen = sorted(np.flatnonzero(share > 0), key=lambda j: (-share[j], j))
         names = ",".join(f"{model.languages[j]}:{share[j]:.3f}" for j in chosen)
-        found[at] = (model.languages[chosen[0]], float(min(1.0, whole[i, chosen[0]])), names)
+        found[at] = (model.languages[chosen[0]], float(min(1.0, whole[i, chosen[0]])), names, float(whole[i, chosen].sum()))
     return found
 
 
@@ -197,7 +198,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             found = [x for b, e in slices(texts, SLICE) for x in infer(texts[b:e], shared.value)]
-            columns = [pa.array(c, k) for c, k in zip(zip(*found), (pa.string(), pa.float64(), pa.string()))]
+            columns = [pa.array(c, k) for c, k in zip(list(zip(*found))[:3], (pa.string(), pa.float64(), pa.string()))]
             if found:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], schema.names)
 
@@ -205,13 +206,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The documents, unchanged, whose language is known with a score of at least ``least``."""
+    """The documents, unchanged, whose chosen languages explain at least the share ``least`` of the text.
+
+    A text in several languages is kept if they are in its set, however small the share of each.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             found = [x for b, e in slices(texts, SLICE) for x in infer(texts[b:e], shared.value)]
-            yield batch.filter(pa.array([x[0] != UNKNOWN and x[1] >= least for x in found], pa.bool_()))
+            yield batch.filter(pa.array([x[0] != UNKNOWN and x[3] >= least for x in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

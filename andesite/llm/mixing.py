@@ -8,17 +8,22 @@ in [0, 1]: 0 gives equal weights and most entropy, 1 the natural shares and fewe
 ``target_entropy``  the greatest exponent whose entropy is at least this share of the log of the
                     number of sources
 
-A source's quota is its weight times the budget of words.  Its documents are taken in epochs, each
-in a new order by a hash of seed, epoch and doc_id, until the quota is used up: whole epochs, and
-from the last one the documents that end within it.  ``position`` is the words of the source before
-a copy.  The sequence is cut into blocks of about ``block_tokens``; every source gives each block
-its weight, and within a block copies are ordered by another hash, ``order_key``.
+A source's quota is its weight times the budget of words, at least 1, and a whole number of epochs
+where it differs from one by rounding errors only.  Its documents are taken in epochs, each in a new
+order by a hash of seed, epoch, doc_id and text, until the quota is used up: whole epochs, and from
+the last one the documents that end within it.  A source whose first document does not fit gives that
+one, so no source is lost; otherwise the budget is kept.  ``position`` is the words of the source
+before a copy.  The sequence is cut into blocks of about ``block_tokens``; every source gives each
+block its weight, and within a block copies are ordered by another hash, ``order_key``.
+
+With ``keep_all`` the budget is what gives the least repeated source, the largest, one whole epoch:
+every document is taken at least once and weights are reached by repeats alone.
 
 Words before a copy are summed in two levels (buckets of the hash, then rows of a bucket), so no
 window holds a whole source.  Only DataFrame functions are used.
 
 A null source counts as the empty one.  Null and empty texts count 1.  Repeated rows are copies of
-their own; rows with a null doc_id share one hash.  Further columns, whatever their names, ride
+their own, in one bucket if doc_id and text are equal.  Further columns, whatever their names, ride
 along in ``row``; an empty table gives no rows.
 """
 
@@ -35,6 +40,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SEED = "mix"
 BISECTIONS = 40
 BLOCK_TOKENS = 1_000_000
+# Rounding errors of a quota, as shares of the words of its source and of the budget.
+TOLERANCE = 1e-9, 1e-11
 HEX_DIGITS = 3  # leading digits of the hash that make a bucket
 
 
@@ -51,7 +58,8 @@ def source_shares(docs: DataFrame) -> DataFrame:
 
 
 def find_exponent(
-    sources: DataFrame, total: int, budget: int, max_repeats: float | None, target_entropy: float | None
+    sources: DataFrame, total: int, budget: int, max_repeats: float | None, target_entropy: float | None,
+    keep_all: bool = False,
 ) -> float:
     """Bisect the exponent; each step is one aggregation over the sources."""
     p = F.col("tokens") / F.lit(total)
@@ -59,9 +67,12 @@ def find_exponent(
 
     def meets(a: float) -> bool:
         power = F.pow(p, F.lit(a))
-        z, y, most = sources.agg(
-            F.sum(power), F.sum(power * F.log(p)), F.max(F.pow(p, F.lit(a - 1)))
+        repeats = F.pow(p, F.lit(a - 1))
+        z, y, most, least = sources.agg(
+            F.sum(power), F.sum(power * F.log(p)), F.max(repeats), F.min(repeats)
         ).first()
+        if keep_all:
+            return most / least <= max_repeats
         if max_repeats is not None:
             return most / z * budget / total <= max_repeats
         return math.log(z) - a * y / z < target_entropy * math.log(count)
@@ -83,24 +94,35 @@ def mix(
     block_tokens: int = BLOCK_TOKENS,
     seed: str = SEED,
     carry: Sequence[str] | None = None,
+    keep_all: bool = False,
 ) -> DataFrame:
     """Copies of the documents to take: row, source, epoch, tokens, position, block, order_key.
 
     ``row`` has the columns to ``carry``, which are shuffled with each copy: all, unless named.
-    ``budget_share`` is the budget as a share of all words there are.  A limit on repeats that no
-    weights can meet gives the natural shares.
+    ``budget_share`` is the budget as a share of all words there are; ``keep_all`` needs a limit on
+    repeats and none on the budget.  A limit on repeats that no weights can meet gives the natural shares.
     """
     if (max_repeats is None) == (target_entropy is None):
         raise ValueError("give either max_repeats or target_entropy")
+    if keep_all and (max_repeats is None or budget_share != 1.0):
+        raise ValueError("keep_all needs max_repeats and sets the budget itself")
     sources = source_shares(docs)
     total = sources.agg(F.sum("tokens")).first()[0] or 0
     budget = math.floor(total * budget_share)
+    exponent = find_exponent(sources, total, budget, max_repeats, target_entropy, keep_all) if total else 1.0
+    share = F.col("tokens") / F.lit(max(total, 1))
+    power = F.pow(share, F.lit(exponent))
+    z, least = sources.agg(F.sum(power), F.min(F.pow(share, F.lit(exponent - 1)))).first()
+    z, least = z or 1.0, least or 1.0
+    if keep_all:
+        budget = math.ceil(total * z / least)
     blocks = max(1, -(-budget // block_tokens))
-    exponent = find_exponent(sources, total, budget, max_repeats, target_entropy) if total else 1.0
-    power = F.pow(F.col("tokens") / F.lit(max(total, 1)), F.lit(exponent))
-    z = sources.agg(F.sum(power)).first()[0] or 1.0
-    # Float noise must not cost a source whose quota is a whole epoch its last document.
-    quota = F.floor(F.round(power / F.lit(z), 12) * F.lit(budget) + F.lit(1e-6)).cast("bigint")
+    # Rounding errors must not cost a source whose quota is whole epochs its last document.
+    exact = power / F.lit(z) * F.lit(budget)
+    whole = F.round(exact / F.col("tokens")) * F.col("tokens")
+    noise = F.col("tokens") * F.lit(TOLERANCE[0]) + F.lit(budget * TOLERANCE[1])
+    near = F.abs(exact - whole) <= noise
+    quota = F.greatest(F.when(near, whole).otherwise(F.floor(exact)).cast("bigint"), F.lit(1))
     quotas = sources.select("source", "tokens", quota.alias("quota")).select(
         "source",
         "quota",
@@ -115,12 +137,13 @@ def mix(
         F.col("doc_id").alias("id"),
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
         size_of().alias("tokens"),
+        F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("content"),
     )
     last = F.col("epochs") - F.when(F.col("rest") > 0, 0).otherwise(1)
     copies = (
         rows.join(quotas, "source").filter(last >= 0)
         .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "epoch", "id")))
+        .withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "epoch", "id", "content")))
         .withColumn("bucket", F.substring("key", 1, HEX_DIGITS))
     )
     # Words by bucket: read from the documents again, without the rows that ride along.
@@ -130,26 +153,31 @@ def mix(
     before = sums.select(*group, F.coalesce(F.sum("bucket_tokens").over(earlier), F.lit(0)).alias("before"))
     inside = Window.partitionBy(*group).orderBy("key", "id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))
-    taken = (F.col("epoch") < F.col("epochs")) | (F.col("start") + F.col("tokens") <= F.col("rest"))
+    first = (F.col("epoch") == 0) & (F.col("start") == 0)
+    taken = first | (F.col("epoch") < F.col("epochs")) | (F.col("start") + F.col("tokens") <= F.col("rest"))
     return (
         copies.join(before, group).withColumn("start", start).filter(taken)
         .withColumn("position", F.col("epoch") * F.col("source_tokens") + F.col("start"))
         .withColumn("block", F.expr("position DIV per_block"))
         .select(
             "row", "source", "epoch", "tokens", "position", "block",
-            F.md5(F.concat_ws(":", F.lit(seed), "block", "epoch", "id")).alias("order_key"),
+            F.md5(F.concat_ws(":", F.lit(seed), "block", "epoch", "id", "content")).alias("order_key"),
         )
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The copies to take, with the columns of the documents."""
-    return mix(docs, **options).select("row.*")
+    """The copies to take, with the columns of the documents, in the order of the permuted blocks.
+
+    A partition holds slices of blocks, each a range of ``order_key``, so that no task has a whole block.
+    """
+    mixed = mix(docs, **options).withColumn("slice", F.substring("order_key", 1, 2))
+    return mixed.repartition("block", "slice").sortWithinPartitions("block", "order_key").select("row.*")
 
 
 MIX_SQL = f"""
 WITH RECURSIVE sized AS (
-  SELECT doc_id, coalesce(source, '') AS source,
+  SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(text, '')) AS content,
          greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1) AS tokens
   FROM documents
 ), sources AS (SELECT source, sum(tokens)::BIGINT AS tokens FROM sized GROUP BY source),
@@ -169,23 +197,28 @@ bisect AS (
   ) WHERE step <= {BISECTIONS}
 ), chosen AS (SELECT high AS a FROM bisect ORDER BY step DESC LIMIT 1),
 powers AS (SELECT source, tokens AS source_tokens, total, pow(tokens / total, a) AS power FROM sources, whole, chosen),
-quotas AS (
-  SELECT source, source_tokens, floor(round(power / (SELECT sum(power) FROM powers), 12) * total + 1e-6)::BIGINT AS quota,
+exact AS (
+  SELECT source, source_tokens, total, power / (SELECT sum(power) FROM powers) * total AS exact FROM powers
+), quotas AS (
+  SELECT source, source_tokens,
+         greatest(1, CASE WHEN abs(exact - round(exact / source_tokens) * source_tokens)
+                               <= source_tokens * {TOLERANCE[0]} + total * {TOLERANCE[1]}
+                          THEN round(exact / source_tokens) * source_tokens ELSE floor(exact) END::BIGINT) AS quota,
          greatest(1, CAST(ceil(total / {BLOCK_TOKENS}) AS BIGINT)) AS blocks
-  FROM powers
+  FROM exact
 ), copies AS (
-  SELECT doc_id, source, tokens, source_tokens, quota % source_tokens AS rest, quota // source_tokens AS epochs,
+  SELECT doc_id, source, content, tokens, source_tokens, quota % source_tokens AS rest, quota // source_tokens AS epochs,
          CAST(ceil(quota / blocks) AS BIGINT) AS per_block,
          unnest(range(quota // source_tokens + CASE WHEN quota % source_tokens > 0 THEN 1 ELSE 0 END)) AS epoch
   FROM sized JOIN quotas USING (source)
 ), ordered AS (
   SELECT *, coalesce(sum(tokens) OVER (
-           PARTITION BY source, epoch ORDER BY md5(concat_ws(':', '{SEED}', epoch, doc_id)), doc_id, tokens
+           PARTITION BY source, epoch ORDER BY md5(concat_ws(':', '{SEED}', epoch, doc_id, content)), doc_id, tokens
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM copies
 )
 SELECT doc_id, source, epoch, tokens, epoch * source_tokens + start AS position,
        (epoch * source_tokens + start) // per_block AS block,
-       md5(concat_ws(':', '{SEED}', (epoch * source_tokens + start) // per_block, epoch, doc_id)) AS order_key
-FROM ordered WHERE epoch < epochs OR start + tokens <= rest
+       md5(concat_ws(':', '{SEED}', (epoch * source_tokens + start) // per_block, epoch, doc_id, content)) AS order_key
+FROM ordered WHERE epoch < epochs OR start + tokens <= rest OR (epoch = 0 AND start = 0)
 """

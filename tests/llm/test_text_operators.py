@@ -377,13 +377,14 @@ def test_language_of_mixed_and_awkward_texts(spark, awkward, nothing):
     model = langid.train(table(spark, "/root/testdata/sf0.01", "documents"))
     docs = {r["lang"]: r["text"] for r in table(spark, "/root/testdata/sf0.01", "documents").filter("n_chars > 1500").collect()}
     both = docs["en"][:1200] + " " + docs["de"][:600]
-    (name, score, chosen), = langid.infer([both], model)
+    (name, score, chosen, explained), = langid.infer([both], model)
     assert name == "en" and {x.split(":")[0] for x in chosen.split(",")} == {"en", "de"} and 0.5 < score < 0.85
     odd = by_id(langid.predict(awkward, model))
     assert [odd[i]["lang_pred"] for i in range(4)] == ["und"] * 4 and odd[4]["lang_pred"] in model.languages
     assert langid.predict(nothing, model).count() == 0
     empty = langid.train(nothing)
     assert {r["lang_pred"] for r in langid.predict(awkward, empty).collect()} == {"und"}
+    assert explained >= score
     kept = langid.keep_known(awkward, model, 0.3)
     assert kept.columns == awkward.columns and kept.filter("doc_id < 4").count() == 0
 
@@ -490,6 +491,38 @@ def test_mixture_meets_its_limits(spark, awkward, nothing):
     assert mixed.columns == awkward.columns and mixed.count() == awkward.count()
 
 
+def test_no_source_is_lost_and_whole_epochs_stay_whole(spark):
+    rows = [(i, "w " * 50, "large") for i in range(40)] + [(100, "w " * 60, "one long"), (101, "w " * 50, "one")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.source for r in mixing.mix(docs, budget_share=0.8, max_repeats=1.0).collect()}
+    assert got == {"large", "one long", "one"}
+    everything = mixing.mix(docs, max_repeats=3.0, keep_all=True).collect()
+    copies = Counter(r.row.doc_id for r in everything)
+    assert set(copies) == {r[0] for r in rows} and max(copies.values()) == 3 and copies[100] > 1
+    assert all(copies[i] == 1 for i in range(40))
+    for size in (1_000, 1_000_003):
+        many = spark.range(3).selectExpr("id AS doc_id", f"repeat('w ', {size} + cast(id AS int)) AS text", "concat('s', id) AS source")
+        assert Counter(r.epoch for r in mixing.mix(many, max_repeats=1.0, carry=["doc_id"]).collect()) == {0: 3}
+
+
+def test_rows_without_id_are_dealt_over_buckets(spark):
+    docs = spark.range(4000).selectExpr("CAST(NULL AS bigint) AS doc_id", "concat('word ', id) AS text", "'s' AS source")
+    got = mixing.mix(docs, max_repeats=1.0, carry=["text"]).collect()
+    assert len({r.row.text for r in got}) == len(got) == 4000 and sorted(r.position for r in got) == list(range(0, 8000, 2))
+    assert len({r.order_key for r in got}) == 4000
+
+
+def test_mixed_documents_come_in_the_order_of_blocks(spark):
+    rows = [(i, "w " * 5, "big" if i % 3 else "small") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    keys = {(r.row.doc_id): (r.block, r.order_key) for r in mixing.mix(docs, max_repeats=1.0, block_tokens=2000).collect()}
+    mixed = mixing.mixed_documents(docs, max_repeats=1.0, block_tokens=2000)
+    parts: dict[int, list] = defaultdict(list)
+    for r in mixed.withColumn("part", mixing.F.spark_partition_id()).collect():
+        parts[r.part].append(keys[r.doc_id])
+    assert all(seen == sorted(seen) for seen in parts.values()) and sum(map(len, parts.values())) == 3000
+
+
 # --- near-duplicates ---------------------------------------------------------------------
 
 
