@@ -3,11 +3,13 @@
 Every stage takes (spark, docs, sf_dir) and works on all documents that the one before kept; all but
 the last return the columns of the documents.
 
-language  learn languages from the training part of the documents; unknown and undecided ones go
+language  learn languages from the training part of the documents; those of unknown language go, and
+          those of which the languages chosen for them explain too little
 near_dup  one document of each group of near-duplicates (word runs alike by at least 80 per cent)
           stays, that with the smallest doc_id
 pii       personal data is replaced by its kind
-mixing    sources are mixed to flatter weights within a budget; no document is taken twice
+mixing    sources are mixed to flatter weights: every document is taken, those of small sources up to
+          MAX_REPEATS times, in the order of permuted blocks
 packing   pieces of the documents, placed in sequences
 
 Null and empty texts are of unknown language and go in the first stage.  Repeated rows count as one
@@ -22,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from andesite.llm import langid, mixing, near_dup, packing, pii
 from andesite.llm.common import stage, table
 
-# The least share of a document's text in its main language.
-MAIN_LANGUAGE = 0.35
+# The least share of a document's text in the languages chosen for it, of all languages.
+LEAST_EXPLAINED = 0.35
 # Documents of at least this similarity, in per cent, are near-duplicates.
 NEAR_PERCENT = 80
-# The mixture takes this share of all words, no document more than once.
-BUDGET_SHARE, MAX_REPEATS = 0.8, 1.0
+# No document is taken more often by the mixture.
+MAX_REPEATS = 2.0
 
 
 # Rows and bytes of the batches in which texts go to Python and come back.
@@ -42,7 +44,7 @@ def _small_batches(spark: SparkSession) -> None:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _small_batches(spark)
     model = langid.train(docs.filter(~langid.held_out()))
-    return langid.keep_known(docs, model, MAIN_LANGUAGE)
+    return langid.keep_known(docs, model, LEAST_EXPLAINED)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs, budget_share=BUDGET_SHARE, max_repeats=MAX_REPEATS)
+    return mixing.mixed_documents(docs, max_repeats=MAX_REPEATS, keep_all=True)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
