@@ -26,10 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; where none is set (tests), one of our own."""
+    """The folder named in ``spark.checkpoint.dir``; where none is set, one of our own on a local master.
+
+    Executors elsewhere could not read such a folder, so on a cluster an unset one is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="andesite-llm-"))
     return _own_folder[0]

@@ -5,7 +5,8 @@ with fewer words the whole sequence is the one member, without words the set is
 are linked if their sets have a Jaccard similarity of at least ``percent`` per cent (``PERCENT`` unless
 given), and the groups are the connected components of the links.
 
-1. Equal sets become one class, found by a 128-bit fingerprint, so exact copies are never paired.
+1. Equal sets become one class, found by a 128-bit fingerprint, so exact copies are never paired.  A
+   class is named by one of its rows, and only that row's text is read again, for the full set.
 2. Every class has a signature of ``SYMBOLS`` minima, 8 bits each.  The first of them are split
    into chunks of 6, each of which gives one key for each symbol that may be wrong; a pair with a
    chunk that differs in at most one symbol shares a key.  ``layout`` takes as many chunks as are
@@ -30,7 +31,9 @@ the shared folder between the steps.
 
 Null and empty texts have empty sets, n_shingles 0, are linked with nothing, and are kept.  A null
 doc_id is linked with nothing, has a null component and is kept.  Repeated rows get a row each, with
-the same values; further columns are ignored; an empty table gives no rows.
+the same values.  A doc_id that repeats with different texts is one document per text: each text has
+its own links, they are not linked by the common doc_id, and component_id is the smallest doc_id of the
+rows that are linked.  Further columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -42,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from andesite.llm.common import WordHashes, byte_words, mix, stage, window_hashes
+from andesite.llm.common import WordHashes, byte_words, mix, slices, stage, window_hashes
 
 WORDS = 5
 PERCENT = 85
@@ -55,6 +58,8 @@ ROUNDS = 2
 BLOCK = 1024
 # Hashes handled at once when signatures are computed.
 STRIP = 1 << 16
+# Characters of text whose full sets are made at once.
+SET_SLICE = 2_000_000
 
 _seeds = np.random.default_rng(20240229)
 FACTORS = (_seeds.integers(0, 1 << 31, SYMBOLS + SKETCH, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -62,7 +67,8 @@ TERMS = _seeds.integers(0, 1 << 32, SYMBOLS + SKETCH, dtype=np.uint32)
 SIGNATURE_SYMBOLS, SKETCH_SYMBOLS = range(SYMBOLS), range(SYMBOLS, SYMBOLS + SKETCH)
 
 PRINT = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("mark", T.LongType()),
+    T.StructField("n_shingles", T.LongType()),
     T.StructField("print1", T.LongType()), T.StructField("print2", T.LongType()),
     T.StructField("signature", T.BinaryType()),
 ])
@@ -122,12 +128,15 @@ def signatures(sets: list[np.ndarray], symbols: range = SIGNATURE_SYMBOLS) -> np
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Size, fingerprint and signature of each document's set; the latter null for empty sets."""
+    """Size, fingerprint and signature of each document's set; the latter null for empty sets.
+
+    ``mark`` is a hash of the text, which with the doc_id finds the text again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, marks = batch.column("doc_id"), batch.column("mark")
             for begin in range(0, batch.num_rows, 1000):
                 texts = batch.column("text").slice(begin, 1000).to_pylist()
                 sets = [shingles(t, hashes, words) for t in texts]
@@ -139,13 +148,14 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(begin, 1000).cast(pa.int64()),
+                    marks.slice(begin, 1000),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([p for p, _ in prints], pa.int64()),
                     pa.array([p for _, p in prints], pa.int64()),
                     pa.array([next(signed).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ], PRINT.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, PRINT)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, PRINT)
 
 
 def chunk_keys(signature: str = "signature", chunks: int = layout(PERCENT).chunks) -> Column:
@@ -265,26 +275,39 @@ def all_pairs(rows: pa.Table, limits: Layout) -> pa.Table:
     return group.pairs(found)
 
 
-def candidate_sets(keyed: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(class, members, sketch): the full sets of the classes that share a key."""
+def repeats_of(rows: DataFrame) -> DataFrame:
+    """(doc_id, mark) that several rows have."""
+    return rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "mark")
+
+
+def candidate_sets(keyed: DataFrame, prints: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(class, members, sketch): the full sets of the classes that share a key.
+
+    Only texts of rows that repeat as a whole go through an aggregation; all others are unique already.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
-                sets = [shingles(t, hashes, words) for t in part.column("text").to_pylist()]
-                full = [i for i, s in enumerate(sets) if len(s)]
-                sets = [sets[i] for i in full]
+            texts = batch.column("text").to_pylist()
+            for begin, end in slices(texts, SET_SLICE):
+                sets = [shingles(t, hashes, words) for t in texts[begin:end]]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id").cast(pa.int64()).take(pa.array(full, pa.int64())),
+                    batch.column("class").slice(begin, end - begin),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
                     pa.array([s.tobytes() for s in signatures(sets, SKETCH_SYMBOLS)], pa.binary()),
                 ], ["class", "members", "sketch"])
 
-    ids = keyed.select(F.col("class").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    return texts.mapInArrow(run, "class bigint, members binary, sketch binary").dropDuplicates(["class"])
+    def sets_of(rows: DataFrame) -> DataFrame:
+        texts = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).join(rows, ["doc_id", "mark"])
+        return texts.select("class", "text").mapInArrow(run, "class bigint, members binary, sketch binary")
+
+    named = prints.filter("doc_id IS NOT NULL").select("doc_id", "mark", F.col("row").alias("class"))
+    again = repeats_of(named).withColumn("again", F.lit(True))
+    chosen = named.join(keyed.select("class").distinct(), "class", "left_semi").join(again, ["doc_id", "mark"], "left")
+    chosen = stage(chosen, "chosen")
+    once, repeated = (chosen.filter(f).drop("again") for f in ("again IS NULL", "again"))
+    return sets_of(once).union(sets_of(repeated).dropDuplicates(["class"]))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -327,17 +350,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each document."""
+def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(row, doc_id, mark, n_shingles, group, component_id) of each row of the documents.
+
+    ``group`` is the same number for all rows of a component, and ``row`` numbers the rows.
+    """
     limits = layout(percent)
-    prints = stage(fingerprints(docs), "prints")
+    prints = stage(fingerprints(docs).withColumn("row", F.monotonically_increasing_id()), "prints")
     named = prints.filter("doc_id IS NOT NULL AND n_shingles > 0")
     by_print = named.groupBy("print1", "print2", "n_shingles").agg(
-        F.min("doc_id").alias("class"), F.first("signature").alias("signature"), F.count("*").alias("rows"))
-    # One row for each different set, under the smallest doc_id that has it.
+        F.min("row").alias("class"), F.min("doc_id").alias("lowest"), F.count("*").alias("rows"),
+        F.first("signature").alias("signature"))
+    # One row for each different set, under the first row that has it.
     classes = stage(by_print, "classes")
     keyed = stage(_shared_keys(classes, limits.chunks), "keys")
-    sets = stage(candidate_sets(keyed, docs), "sets")
+    sets = stage(candidate_sets(keyed, prints, docs), "sets")
     links = stage(confirm(screen(leader_pairs(keyed), classes, limits.least_equal), sets, percent), "links")
     for _ in range(ROUNDS):
         members = block_members(keyed, components(links)).join(classes.select("class", "signature"), "class")
@@ -349,17 +376,26 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = members.groupBy("key", "i", "j").applyInArrow(lambda rows: all_pairs(rows, limits), "a bigint, b bigint")
     links = links.union(stage(confirm(rest, sets, percent), "links"))
     labels = components(links)
-    ends = classes.join(labels, "class", "left").select(
-        "print1", "print2", "n_shingles", F.coalesce("label", "class").alias("label"), "rows", "class"
-    ).filter("rows > 1 OR label < class").select("print1", "print2", "n_shingles", "label")
-    joined = prints.join(ends, ["print1", "print2", "n_shingles"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
+    named_classes = classes.select("class", "print1", "print2", "n_shingles", "lowest", "rows").join(labels, "class", "left")
+    least = named_classes.filter("label IS NOT NULL").groupBy("label").agg(F.min("lowest").alias("component"))
+    ends = named_classes.filter("rows > 1 OR label IS NOT NULL").join(least, "label", "left").select(
+        "print1", "print2", "n_shingles", F.coalesce("label", "class").alias("group"),
+        F.coalesce("component", "lowest").alias("component"))
+    joined = prints.drop("signature").join(ends, ["print1", "print2", "n_shingles"], "left")
+    in_group = F.col("doc_id").isNotNull()
     return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        "row", "doc_id", "mark", "n_shingles",
+        F.when(in_group, F.coalesce("group", "row")).otherwise(F.col("row")).alias("group"),
+        F.when(in_group, F.coalesce("component", "doc_id")).alias("component_id"),
     )
 
 
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each document."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return grouped(docs, percent).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def _shared_keys(classes: DataFrame, chunks: int) -> DataFrame:
     """(key, slot, class) of the keys that several classes share; ``slot`` numbers a class's keys."""
     all_keys = classes.select("class", F.posexplode(chunk_keys(chunks=chunks)).alias("slot", "key"))
@@ -370,11 +406,23 @@ def _shared_keys(classes: DataFrame, chunks: int) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each group, the one with the smallest doc_id, unchanged.
 
-    Rows that repeat a doc_id are one document; rows with a null doc_id all stay.
+    Rows that repeat a doc_id and its text are one document.  Of a group's rows that have the smallest
+    doc_id with different texts, one stays.  Rows with a null doc_id all stay.
     """
-    kept = near_duplicates(docs, percent).filter(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    rows = stage(grouped(docs, percent).filter("doc_id IS NOT NULL"), "groups")
+    first = F.min(F.struct("row", "doc_id", "mark")).alias("first")
+    stays = rows.filter("doc_id = component_id").groupBy("group").agg(first).select("first.doc_id", "first.mark").distinct()
+    repeated = repeats_of(rows).withColumn("again", F.lit(True))
+    others = rows.select("doc_id", "mark").distinct().join(stays, ["doc_id", "mark"], "left_anti")
+    # What does not simply stay is the smaller part, so the documents are joined with that.
+    gone = stage(others.union(repeated.select("doc_id", "mark")).distinct(), "gone")
+    once_again = stage(stays.join(repeated, ["doc_id", "mark"], "left_semi"), "repeated")
+
+    def same(side: DataFrame) -> Column:
+        return (docs["doc_id"] == side["doc_id"]) & (F.xxhash64(docs["text"]) == side["mark"])
+
+    kept = docs.join(gone, same(gone), "left_anti")
+    return kept.union(docs.join(once_again, same(once_again), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 # All pairs that share a member, and the transitive closure of the links; for small tables.

@@ -583,6 +583,22 @@ def test_near_duplicates_of_awkward_rows(spark, awkward, nothing):
     assert near_dup.near_duplicates(nothing).count() == 0
 
 
+def test_documents_that_repeat_an_id_with_different_texts(spark):
+    a, b = ([f"{c}{i}" for i in range(80)] for c in "ab")
+    near = [" ".join([*w[:40], "other", *w[41:]]) for w in (a, b)]
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(b)), (2, near[0]), (3, near[1]), (7, "alone"), (7, "alone"),
+            (8, ""), (8, ""), (None, "alone")]
+    docs = spark.createDataFrame([(*r, "x", i) for i, r in enumerate(rows)], "doc_id bigint, text string, mark string, row int")
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect())
+    assert got == [(0, 1, None, True), (1, 76, 1, True), (1, 76, 1, True), (1, 76, 1, True), (2, 76, 1, False), (3, 76, 1, False),
+                   (7, 1, 7, True), (7, 1, 7, True), (8, 0, 8, True), (8, 0, 8, True)]
+    left = near_dup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter([rows[0], rows[1], rows[5], rows[7], rows[9]])
+    one = spark.createDataFrame([(5, " ".join(a)), (5, near[0]), (6, near[0])], "doc_id bigint, text string")
+    assert [r.doc_id for r in near_dup.drop_near_duplicates(one).collect()] == [5]
+
+
 def test_close_signatures_share_a_key(spark):
     """Whatever 13 of the 42 symbols differ, a key is shared."""
     rng = np.random.default_rng(4)
