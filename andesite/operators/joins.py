@@ -120,3 +120,25 @@ def star_trade(fact: DataFrame, dim_date: DataFrame, dim_partner: DataFrame) ->
     columns = [F.col("partner_key").alias("_k"), F.col("partner_name"), F.col("region")]
     dated = _with_dates(fact, dim_date)
     return _left(dated, dim_partner, F.col("partner_key") == F.col("_k"), columns)
+
+
+# The partition column of stored facts.
+YEAR = "date_year"
+
+
+def with_date_year(fact: DataFrame) -> DataFrame:
+    """Facts with the year of their date key, by which they are stored; null without a key."""
+    return fact.withColumn(YEAR, F.floor(F.col("date_key") / 10000).cast("int"))
+
+
+def star_trade_by_year(stored: DataFrame, dim_date: DataFrame, dim_partner: DataFrame) -> DataFrame:
+    """``star_trade`` over facts stored by year.
+
+    Dates are matched by year as well as by key, so a filter on any attribute of the date prunes the
+    partitions of the facts while the query runs.  Without such a filter unmatched facts are kept.
+    """
+    parts = ["full_date", "quarter", "month_name", "day_name", "is_weekend"]
+    columns = [F.col("date_key").alias("_k"), F.col("year").alias("_y"), *map(F.col, parts)]
+    dated = _left(stored, dim_date, (F.col("date_key") == F.col("_k")) & (F.col(YEAR) == F.col("_y")), columns)
+    partners = [F.col("partner_key").alias("_k"), F.col("partner_name"), F.col("region")]
+    return _left(dated.drop("_y"), dim_partner, F.col("partner_key") == F.col("_k"), partners).drop(YEAR)

@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from andesite.schemas import LAYER_TABLES, struct
+from andesite.sources.relations import literal_table
 
 
 def _text(s: str) -> str:
@@ -89,3 +90,51 @@ def ensure_layers(
                 location=f"{base}/{layer}/{table}" if base else None,
                 partition_by=(partitions or {}).get(table, ()),
             )
+
+
+DRIFT = "layer string, table_name string, column_name string, declared string, stored string, drift string"
+NO_TABLE, NO_COLUMN, OTHER_TYPE, UNDECLARED = "missing table", "missing column", "other type", "undeclared column"
+
+
+def layer_drift(
+    spark: SparkSession, prefix: str = "", declared: Mapping[str, Mapping[str, str]] = LAYER_TABLES
+) -> DataFrame:
+    """(layer, table_name, column_name, declared, stored, drift) where the catalog departs from the declaration.
+
+    Only the catalog is read, no table.  Names are compared as the catalog does, without regard to case.
+    """
+    found = []
+    for layer, tables in declared.items():
+        for table, ddl in tables.items():
+            name = f"{prefix}{layer}.{table}"
+            if not spark.catalog.tableExists(name):
+                found.append((layer, table, None, None, None, NO_TABLE))
+                continue
+            stored = {f.name.lower(): f for f in spark.table(name).schema}
+            wanted = {f.name.lower(): f for f in struct(ddl)}
+            for key, f in wanted.items():
+                kind = f.dataType.simpleString()
+                if key not in stored:
+                    found.append((layer, table, f.name, kind, None, NO_COLUMN))
+                elif stored[key].dataType.simpleString() != kind:
+                    found.append((layer, table, f.name, kind, stored[key].dataType.simpleString(), OTHER_TYPE))
+            found += [(layer, table, f.name, None, f.dataType.simpleString(), UNDECLARED)
+                      for key, f in stored.items() if key not in wanted]
+    return literal_table(spark, found, DRIFT)
+
+
+def add_missing_columns(
+    spark: SparkSession, prefix: str = "", declared: Mapping[str, Mapping[str, str]] = LAYER_TABLES
+) -> list[str]:
+    """Add declared columns that stored tables lack; returns the statements, none on a second run.
+
+    Rows stored before read null in them.  Other departures are for ``layer_drift`` to report: a change of
+    type or the loss of a column is never made here.
+    """
+    missing: dict[str, list[str]] = {}
+    for row in layer_drift(spark, prefix, declared).filter(F.col("drift") == NO_COLUMN).collect():
+        missing.setdefault(f"{prefix}{row.layer}.{row.table_name}", []).append(f"`{row.column_name}` {row.declared}")
+    statements = [f"ALTER TABLE {name} ADD COLUMNS ({', '.join(columns)})" for name, columns in missing.items()]
+    for statement in statements:
+        spark.sql(statement)
+    return statements

@@ -10,9 +10,13 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from andesite.operators import snapshots
+from andesite.operators.joins import star_trade, star_trade_by_year, with_date_year
 from andesite.plans.flow import OUTSIDE, FlowConfig, ingest_sources
 from andesite.plans.flow import BRONZE_PARTITIONS
-from andesite.sinks import tables
+from andesite.plans.gold import describe_days
+from andesite.schemas import LAYER_TABLES
+from andesite.sinks import assignment, catalog, tables
 from andesite.sinks.catalog import ensure_layers
 from andesite.sources import landing, schemaless
 
@@ -226,3 +230,97 @@ def test_an_upsert_cut_off_before_its_commit_leaves_the_table(spark, stored, tmp
     (Path(stored) / "_replaced-1").mkdir()
     assert tables.finish_upserts(spark, stored) == 0
     assert spark.read.parquet(stored).filter("v = 'new'").isEmpty() and spark.read.parquet(stored).count() == 1000
+
+
+# --- snapshots ---------------------------------------------------------------------------
+
+
+def test_snapshots_are_read_as_of_a_day(spark, tmp_path):
+    for day, n in ((dt.date(2024, 1, 31), 1), (dt.date(2024, 2, 29), 2), (dt.date(2024, 3, 1), 3)):
+        tables.snapshot_parquet(spark.range(n), str(tmp_path), "s", day)
+    (tmp_path / "s/2024/03/01/_SUCCESS").unlink()  # a write that was cut off
+
+    def rows(*day):
+        return snapshots.read_snapshot(spark, str(tmp_path), "s", dt.date(*day), "id bigint").count()
+
+    assert (rows(2024, 1, 31), rows(2024, 2, 28), rows(2024, 3, 15)) == (1, 1, 2)
+    for source in ("s", "none"):
+        with pytest.raises(FileNotFoundError):
+            snapshots.read_snapshot(spark, str(tmp_path), source, dt.date(2024, 1, 30))
+
+
+def test_changes_of_nulls_repeats_and_further_columns(spark):
+    schema = "k string, n int, v double, t string"
+    before = spark.createDataFrame(
+        [(None, 1, None, "a"), (None, 2, 1.0, "a"), ("x", 1, float("nan"), "a"), ("x", 2, 0.0, None), ("y", 1, 1.0, "r"),
+         ("y", 1, 1.0, "r"), ("y", 1, 1.0, "r")], schema)
+    after = spark.createDataFrame(
+        [(None, 1, None, "a", 1), (None, 2, 2.0, "b", None), ("x", 1, float("nan"), "a", None), ("x", 2, -0.0, None, None),
+         ("y", 1, 1.0, "r", None), ("z", 9, 1.0, None, None)], schema + ", more int")
+    got = {(r.k, r.n): (r.change, r.n_gone, r.n_added, r.columns) for r in snapshots.snapshot_changes(before, after, ["k", "n"]).collect()}
+    assert got == {(None, 1): ("changed", 1, 1, ["more"]), (None, 2): ("changed", 1, 1, ["v", "t"]),
+                   ("y", 1): ("gone", 2, 0, None), ("z", 9): ("added", 0, 1, None)}
+    assert snapshots.snapshot_changes(before, before, ["k", "n"]).isEmpty()
+    assert snapshots.snapshot_changes(before.limit(0), before, list(before.columns)).count() == 5
+
+
+# --- store assignment --------------------------------------------------------------------
+
+
+def test_values_a_table_would_refuse_are_named_before_the_insert(spark, tmp_path):
+    spark.sql(f"CREATE TABLE narrow (i INT, c VARCHAR(3), d DECIMAL(4,1), day DATE) USING parquet LOCATION '{tmp_path}/narrow'")
+    good = spark.createDataFrame([(1, "abc  ", 999.94, dt.date(2024, 1, 1)), (None, None, None, None)], "i bigint, c string, d double, day date")
+    assignment.overwrite_checked(good, "narrow")
+    bad = spark.createDataFrame([(2**40, "abcd", 999.96, "x"), (5, "b", 1.0, "y")], "i bigint, c string, d double, day string")
+    with pytest.raises(assignment.AssignmentError) as e:
+        assignment.overwrite_checked(bad, "narrow")
+    for part in ("i: value does not fit in 1 rows, such as 1099511627776", "c: text too long in 1 rows, such as abcd",
+                 "d: value does not fit in 1 rows", "day: type not assignable"):
+        assert part in str(e.value)
+    assert spark.table("narrow").count() == 2
+    wanted = assignment.table_types(spark, "narrow")
+    assert assignment.assignment_report(good.limit(0), wanted).isEmpty()
+    assert assignment.assignment_report(spark.createDataFrame([(None,)], "q int").limit(0), wanted).count() == 5
+    assert assignment.assignment_report(spark.createDataFrame([(None,)], "i int"), {"i": ("int", False)}).first().problem == "null"
+    spark.sql("DROP TABLE narrow")
+
+
+# --- drift -------------------------------------------------------------------------------
+
+
+def test_drift_of_layers_is_reported_and_additions_are_made_once(spark, rows):
+    prefix = "drifting_"
+    ensure_layers(spark, prefix)
+    assert catalog.layer_drift(spark, prefix).isEmpty()
+    layer, name = next((layer, next(iter(t))) for layer, t in LAYER_TABLES.items())
+    declared = {layer: {name: LAYER_TABLES[layer][name] + ", later int, `odd name` array<string>", "other": "a int"}}
+    missing = [(layer, name, "later", "int", None, catalog.NO_COLUMN), (layer, name, "odd name", "array<string>", None, catalog.NO_COLUMN)]
+    absent = (layer, "other", None, None, None, catalog.NO_TABLE)
+    assert set(rows(catalog.layer_drift(spark, prefix, declared))) == {*missing, absent}
+    assert len(catalog.add_missing_columns(spark, prefix, declared)) == 1
+    assert catalog.add_missing_columns(spark, prefix, declared) == []
+    assert rows(catalog.layer_drift(spark, prefix, declared)) == [absent]
+    for layer in LAYER_TABLES:
+        catalog.drop_layer(spark, prefix + layer)
+
+
+# --- facts stored by year ----------------------------------------------------------------
+
+
+def test_a_filter_on_dates_prunes_the_years_of_stored_facts(spark, tmp_path, capsys):
+    days = spark.sql("SELECT explode(sequence(DATE '2015-01-01', DATE '2024-12-31', INTERVAL 1 DAY)) AS full_date")
+    describe_days(days).write.parquet(f"{tmp_path}/dates")
+    facts = spark.createDataFrame([(y * 10000 + 101, p, float(y)) for y in range(2015, 2025) for p in range(3)] + [(None, 1, 0.0)],
+                                  "date_key int, partner_key int, value double")
+    with_date_year(facts).write.partitionBy("date_year").parquet(f"{tmp_path}/facts")
+    partners = spark.createDataFrame([(0, "p0", "r"), (1, "p1", "r")], "partner_key int, partner_name string, region string")
+    stored, dates = spark.read.parquet(f"{tmp_path}/facts"), spark.read.parquet(f"{tmp_path}/dates")
+    star = star_trade_by_year(stored, dates, partners)
+    plain = star_trade(facts, dates, partners)
+    assert set(star.columns) == set(plain.columns)
+    assert sorted(star.select(plain.columns).collect(), key=repr) == sorted(plain.collect(), key=repr)
+    late = star.filter("full_date >= DATE '2023-01-01'")
+    capsys.readouterr()
+    late.explain()
+    assert "dynamicpruning" in capsys.readouterr().out
+    assert late.count() == 6

@@ -1,16 +1,24 @@
-"""Operators on stored files: damaged files, pick-up of landed ones, schemaless documents, upserts by file.
+"""Operators on stored files and tables: damaged files, pick-up of landed ones, schemaless documents, upserts by
+file, snapshots, store assignment, drift, facts by year.
 
 The queries land the supplied tables in a new folder of the session's shared folder and work on that.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from andesite.sinks.tables import upsert_files
+from andesite.operators.joins import YEAR, star_trade_by_year, with_date_year
+from andesite.operators.snapshots import read_snapshot, snapshot_changes
+from andesite.plans.gold import describe_days
+from andesite.sinks import assignment, catalog
+from andesite.sinks.tables import snapshot_parquet, upsert_files
 from andesite.sources import landing, responses
 from andesite.sources.schemaless import typed_documents
-from verification import inputs as I
+from verification import inputs as I, layers as L
 from verification.case import case, new_folder, table
 
 
@@ -115,3 +123,103 @@ def file_upsert(spark: SparkSession, d: str) -> DataFrame:
     batch = newer.union(older).union(added).toDF("id", "price", "status")
     upsert_files(spark, batch, folder, ["id"], ["price"], staging=folder.rsplit("/", 1)[0])
     return spark.read.schema("id bigint, price double, status string").parquet(folder)
+
+
+@case("""
+WITH b AS (
+  SELECT o_orderkey AS id, o_totalprice AS price, o_orderstatus AS status FROM orders WHERE o_orderkey % 11 <> 0
+), a AS (
+  SELECT o_orderkey AS id, CASE WHEN o_custkey % 50 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS price,
+         CASE WHEN o_custkey % 50 = 8 THEN NULL ELSE o_orderstatus END AS status
+  FROM orders WHERE o_orderkey % 13 <> 0
+)
+SELECT coalesce(b.id, a.id) AS id, CASE WHEN b.id IS NULL THEN 'added' WHEN a.id IS NULL THEN 'gone' ELSE 'changed' END AS change,
+       CAST(b.id IS NOT NULL AS BIGINT) AS n_gone, CAST(a.id IS NOT NULL AS BIGINT) AS n_added,
+       CASE WHEN b.id IS NOT NULL AND a.id IS NOT NULL THEN
+         concat_ws(',', CASE WHEN a.price IS DISTINCT FROM b.price THEN 'price' END,
+                        CASE WHEN a.status IS DISTINCT FROM b.status THEN 'status' END) END AS columns
+FROM b FULL JOIN a ON a.id = b.id
+WHERE a.id IS NULL OR b.id IS NULL OR a.price IS DISTINCT FROM b.price OR a.status IS DISTINCT FROM b.status
+""")
+def snapshot_pair(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as they were on two days, each read as of a day without a snapshot of its own."""
+    folder, customer = new_folder(spark), F.col("o_custkey")
+    orders = table(spark, d, "orders")
+    kept = [F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status")]
+    price = F.when(customer % 50 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    status = F.when(customer % 50 != 8, F.col("o_orderstatus"))
+    after = orders.withColumns({"o_totalprice": price, "o_orderstatus": status})
+    snapshot_parquet(orders.filter("o_orderkey % 11 <> 0").select(kept), folder, "orders", dt.date(2024, 3, 10))
+    snapshot_parquet(after.filter("o_orderkey % 13 <> 0").select(kept), folder, "orders", dt.date(2024, 4, 2))
+    then, now = (read_snapshot(spark, folder, "orders", day) for day in (dt.date(2024, 4, 1), dt.date(2024, 5, 1)))
+    changes = snapshot_changes(then, now, ["id"])
+    return changes.withColumn("columns", F.when(F.col("columns").isNotNull(), F.array_join("columns", ",")))
+
+
+@case("""
+SELECT 'o_orderkey' AS column_name, 'bigint' AS from_type, 'smallint' AS to_type, 'value does not fit' AS problem,
+       count(*) AS n_rows, CAST(min(o_orderkey) AS VARCHAR) AS example
+FROM orders WHERE o_orderkey > 32767 HAVING count(*) > 0
+UNION ALL SELECT 'o_totalprice', 'double', 'decimal(7,2)', 'value does not fit', count(*), CAST(min(o_totalprice) AS VARCHAR)
+FROM orders WHERE o_totalprice >= 99999.995 HAVING count(*) > 0
+UNION ALL SELECT 'o_orderpriority', 'string', 'varchar(8)', 'text too long', count(*), min(o_orderpriority)
+FROM orders WHERE length(o_orderpriority) > 8 HAVING count(*) > 0
+UNION ALL SELECT 'o_orderstatus', 'string', 'int', 'type not assignable', NULL, NULL
+UNION ALL SELECT 'note', NULL, 'string', 'missing column', NULL, NULL
+UNION ALL SELECT 'extra', 'bigint', NULL, 'unknown column', NULL, NULL
+""")
+def assignment_problems(spark: SparkSession, d: str) -> DataFrame:
+    """Orders against a table that is too narrow for some of their values."""
+    name = f"assignment_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (o_orderkey SMALLINT, o_custkey STRING, o_totalprice DECIMAL(7,2), "
+              "o_orderpriority VARCHAR(8), o_orderstatus INT, o_orderdate DATE, note STRING) USING parquet")
+    wanted = assignment.table_types(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    orders = table(spark, d, "orders").withColumn("extra", F.col("o_custkey"))
+    return assignment.assignment_report(orders, wanted)
+
+
+_DECLARED = "o_orderkey bigint, o_custkey int, o_totalprice double, note string, checked boolean"
+
+
+@case("""
+SELECT 'o_custkey' AS column_name, 'int' AS declared, 'bigint' AS stored, 'other type' AS drift, count(*) AS n_rows,
+       count(o_custkey) AS n_values FROM orders
+UNION ALL SELECT 'note', 'string', NULL, 'missing column', count(*), 0 FROM orders
+UNION ALL SELECT 'checked', 'boolean', NULL, 'missing column', count(*), 0 FROM orders
+UNION ALL SELECT 'o_orderstatus', NULL, 'string', 'undeclared column', count(*), count(o_orderstatus) FROM orders
+""")
+def layer_additions(spark: SparkSession, d: str) -> DataFrame:
+    """A stored layer against its declaration; what it lacks is added, and then every column counted."""
+    layer = f"drift_{uuid.uuid4().hex}"
+    declared = {layer: {"orders": _DECLARED}}
+    folder = f"{new_folder(spark)}/orders"
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"]
+    table(spark, d, "orders").select(columns).write.parquet(folder)
+    catalog.ensure_schema(spark, layer)
+    stored = ", ".join(f"{c} {t}" for c, t in table(spark, d, "orders").select(columns).dtypes)
+    catalog.ensure_table(spark, f"{layer}.orders", stored, location=folder)
+    found = catalog.layer_drift(spark, "", declared).drop("layer", "table_name")
+    catalog.add_missing_columns(spark, "", declared)
+    now = spark.table(f"{layer}.orders")
+    counts = now.agg(F.count("*").alias("n_rows"), *[F.count(c).alias(c) for c in now.columns])
+    values = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_values")) for c in now.columns]))
+    return found.join(counts.select("n_rows", values), F.col("column") == F.col("column_name")).drop("column")
+
+
+@case(f"""
+SELECT f.*, full_date, quarter, month_name, day_name, is_weekend, partner_name, region
+FROM ({L.STAR_TRADE_FACT}) f JOIN ({L.STAR_DATES}) dd ON f.date_key = dd.date_key
+     LEFT JOIN (SELECT n_nationkey, n_name AS partner_name, r_name AS region
+                FROM nation JOIN region ON n_regionkey = r_regionkey) dp ON f.partner_key = dp.n_nationkey
+WHERE full_date >= DATE '1997-06-01'
+""")
+def star_of_stored_years(spark: SparkSession, d: str) -> DataFrame:
+    """Trade facts stored by year, with the dates from a day on; only the years of these dates are read."""
+    folder = new_folder(spark)
+    facts = with_date_year(L.star_trade_fact(spark, d))
+    facts.hint("rebalance", YEAR).write.partitionBy(YEAR).parquet(f"{folder}/facts")
+    describe_days(L.order_days(spark, d)).write.parquet(f"{folder}/dates")
+    stored = spark.read.parquet(f"{folder}/facts")
+    dates = spark.read.parquet(f"{folder}/dates")
+    return star_trade_by_year(stored, dates, L.partner_table(spark, d)).filter("full_date >= DATE '1997-06-01'")
