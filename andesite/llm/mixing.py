@@ -22,6 +22,11 @@ every document is taken at least once and weights are reached by repeats alone.
 Words before a copy are summed in two levels (buckets of the hash, then rows of a bucket), so no
 window holds a whole source.  Only DataFrame functions are used.
 
+``mixed_documents`` sums words without the texts and keeps where blocks begin: in each source and epoch
+the copy, in the order of its hash, from which on another block follows.  These bounds, a few for each
+block and source, are broadcast, so a text is shuffled once, to its block.  Equal rows that a bound
+falls between are counted one by one.
+
 A null source counts as the empty one.  Null and empty texts count 1.  Repeated rows are copies of
 their own, in one bucket if doc_id and text are equal.  Further columns, whatever their names, ride
 along in ``row``; an empty table gives no rows.
@@ -43,6 +48,9 @@ BLOCK_TOKENS = 1_000_000
 # Rounding errors of a quota, as shares of the words of its source and of the budget.
 TOLERANCE = 1e-9, 1e-11
 HEX_DIGITS = 3  # leading digits of the hash that make a bucket
+RANGE_DIGITS = 2  # and those that make a range of bounds
+# Bounds that are broadcast; with more (very many sources), Spark chooses the join.
+MOST_BOUNDS = 500_000
 
 
 def size_of(text: str = "text") -> Column:
@@ -86,22 +94,11 @@ def find_exponent(
     return high if max_repeats is not None else low
 
 
-def mix(
-    docs: DataFrame,
-    budget_share: float = 1.0,
-    max_repeats: float | None = 4.0,
-    target_entropy: float | None = None,
-    block_tokens: int = BLOCK_TOKENS,
-    seed: str = SEED,
-    carry: Sequence[str] | None = None,
-    keep_all: bool = False,
+def source_quotas(
+    docs: DataFrame, budget_share: float, max_repeats: float | None, target_entropy: float | None,
+    block_tokens: int, keep_all: bool,
 ) -> DataFrame:
-    """Copies of the documents to take: row, source, epoch, tokens, position, block, order_key.
-
-    ``row`` has the columns to ``carry``, which are shuffled with each copy: all, unless named.
-    ``budget_share`` is the budget as a share of all words there are; ``keep_all`` needs a limit on
-    repeats and none on the budget.  A limit on repeats that no weights can meet gives the natural shares.
-    """
+    """(source, quota, epochs, rest, source_tokens, per_block) of each source."""
     if (max_repeats is None) == (target_entropy is None):
         raise ValueError("give either max_repeats or target_entropy")
     if keep_all and (max_repeats is None or budget_share != 1.0):
@@ -123,7 +120,7 @@ def mix(
     noise = F.col("tokens") * F.lit(TOLERANCE[0]) + F.lit(budget * TOLERANCE[1])
     near = F.abs(exact - whole) <= noise
     quota = F.greatest(F.when(near, whole).otherwise(F.floor(exact)).cast("bigint"), F.lit(1))
-    quotas = sources.select("source", "tokens", quota.alias("quota")).select(
+    return sources.select("source", "tokens", quota.alias("quota")).select(
         "source",
         "quota",
         F.expr("quota DIV tokens").alias("epochs"),
@@ -132,6 +129,9 @@ def mix(
         F.ceil(F.col("quota") / F.lit(blocks)).cast("bigint").alias("per_block"),
     )
 
+
+def all_copies(docs: DataFrame, quotas: DataFrame, seed: str, carry: Sequence[str] | None) -> DataFrame:
+    """The copies of all epochs, with their sources' quotas, hash and bucket."""
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row"),
         F.col("doc_id").alias("id"),
@@ -140,38 +140,123 @@ def mix(
         F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("content"),
     )
     last = F.col("epochs") - F.when(F.col("rest") > 0, 0).otherwise(1)
-    copies = (
+    return (
         rows.join(quotas, "source").filter(last >= 0)
         .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
         .withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), "epoch", "id", "content")))
         .withColumn("bucket", F.substring("key", 1, HEX_DIGITS))
     )
-    # Words by bucket: read from the documents again, without the rows that ride along.
-    group = ["source", "epoch", "bucket"]
-    sums = copies.groupBy(*group).agg(F.sum("tokens").alias("bucket_tokens"))
+
+
+GROUP = ["source", "epoch", "bucket"]
+
+
+def with_start(copies: DataFrame) -> DataFrame:
+    """Copies with ``start``, the words of their source and epoch before them."""
+    # Words by bucket: read from the copies again, without the rows that ride along.
+    sums = copies.groupBy(*GROUP).agg(F.sum("tokens").alias("bucket_tokens"))
     earlier = Window.partitionBy("source", "epoch").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(*group, F.coalesce(F.sum("bucket_tokens").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy(*group).orderBy("key", "id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(*GROUP, F.coalesce(F.sum("bucket_tokens").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy(*GROUP).orderBy("key", "id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))
+    return copies.join(before, GROUP).withColumn("start", start)
+
+
+def with_block(started: DataFrame) -> DataFrame:
+    """Copies with position and block; the block is null where a copy is not taken."""
     first = (F.col("epoch") == 0) & (F.col("start") == 0)
     taken = first | (F.col("epoch") < F.col("epochs")) | (F.col("start") + F.col("tokens") <= F.col("rest"))
     return (
-        copies.join(before, group).withColumn("start", start).filter(taken)
-        .withColumn("position", F.col("epoch") * F.col("source_tokens") + F.col("start"))
-        .withColumn("block", F.expr("position DIV per_block"))
-        .select(
-            "row", "source", "epoch", "tokens", "position", "block",
-            F.md5(F.concat_ws(":", F.lit(seed), "block", "epoch", "id", "content")).alias("order_key"),
-        )
+        started.withColumn("position", F.col("epoch") * F.col("source_tokens") + F.col("start"))
+        .withColumn("block", F.when(taken, F.expr("position DIV per_block")))
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The copies to take, with the columns of the documents, in the order of the permuted blocks.
+def order_key(seed: str) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(seed), "block", "epoch", "id", "content")).alias("order_key")
+
+
+def mix(
+    docs: DataFrame,
+    budget_share: float = 1.0,
+    max_repeats: float | None = 4.0,
+    target_entropy: float | None = None,
+    block_tokens: int = BLOCK_TOKENS,
+    seed: str = SEED,
+    carry: Sequence[str] | None = None,
+    keep_all: bool = False,
+) -> DataFrame:
+    """Copies of the documents to take: row, source, epoch, tokens, position, block, order_key.
+
+    ``row`` has the columns to ``carry``, which are shuffled with each copy: all, unless named.
+    ``budget_share`` is the budget as a share of all words there are; ``keep_all`` needs a limit on
+    repeats and none on the budget.  A limit on repeats that no weights can meet gives the natural shares.
+    """
+    quotas = source_quotas(docs, budget_share, max_repeats, target_entropy, block_tokens, keep_all)
+    return with_block(with_start(all_copies(docs, quotas, seed, carry))).filter("block IS NOT NULL").select(
+        "row", "source", "epoch", "tokens", "position", "block", order_key(seed))
+
+
+def block_bounds(copies: DataFrame) -> DataFrame:
+    """(source, epoch, range, bounds): where another block begins, as arrays in the order of the copies.
+
+    A bound has a key, the words before the first row with that key, the block from there on (null: not
+    taken) and ``cut``, whether it falls between equal rows.  Each range begins with a bound of its own.
+    """
+    placed = with_block(with_start(stage(copies.drop("row", "id", "content").withColumn("id", F.lit(0)), "copies")))
+    order = Window.partitionBy(*GROUP).orderBy("key", "start")
+    same = F.lag("block").over(order).eqNullSafe(F.col("block")) & (F.row_number().over(order) > 1)
+    changes = placed.withColumns({
+        "same": same,
+        "cut": F.coalesce(F.lag("key").over(order) == F.col("key"), F.lit(False)),
+        "lowest": F.min("start").over(Window.partitionBy(*GROUP, "key")),
+    }).filter("NOT same")
+    changes = stage(changes.select("source", "epoch", "key", "start", "lowest", "block", "cut"), "changes")
+    # The first copy of a bucket is no bound if its block goes on from the bucket before.
+    order = Window.partitionBy("source", "epoch").orderBy("key", "start")
+    range_ = F.substring("key", 1, RANGE_DIGITS)
+    goes_on = (F.lag("block").over(order).eqNullSafe(F.col("block"))
+               & (F.substring(F.lag("key").over(order), 1, RANGE_DIGITS) == range_))
+    bounds = changes.withColumn("range", range_).withColumn("again", F.coalesce(goes_on, F.lit(False))).filter("NOT again")
+    sorted_ = F.sort_array(F.collect_list(F.struct("key", "start", "lowest", "block", "cut")))
+    return stage(bounds.groupBy("source", "epoch", "range").agg(sorted_.alias("bounds")), "bounds")
+
+
+def mixed_documents(
+    docs: DataFrame,
+    budget_share: float = 1.0,
+    max_repeats: float | None = 4.0,
+    target_entropy: float | None = None,
+    block_tokens: int = BLOCK_TOKENS,
+    seed: str = SEED,
+    carry: Sequence[str] | None = None,
+    keep_all: bool = False,
+) -> DataFrame:
+    """The copies that ``mix`` takes, with the columns of the documents, in the order of the permuted blocks.
 
     A partition holds slices of blocks, each a range of ``order_key``, so that no task has a whole block.
     """
-    mixed = mix(docs, **options).withColumn("slice", F.substring("order_key", 1, 2))
+    quotas = source_quotas(docs, budget_share, max_repeats, target_entropy, block_tokens, keep_all)
+    copies = all_copies(docs, quotas, seed, carry)
+    bounds = block_bounds(copies)
+    n_bounds, n_cut = bounds.agg(
+        F.coalesce(F.sum(F.size("bounds")), F.lit(0)),
+        F.count_if(F.exists("bounds", lambda b: b["cut"]))).first()
+    on = ["source", "epoch", "range"]
+    at = F.element_at(F.filter("bounds", lambda b: b["key"] <= F.col("key")), -1)
+    placed = copies.withColumn("range", F.substring("key", 1, RANGE_DIGITS)).join(
+        F.broadcast(bounds) if n_bounds <= MOST_BOUNDS else bounds, on).withColumn("at", at).drop("bounds")
+    kept = ["row", "epoch", "id", "content", "block"]
+    if n_cut:
+        cut = (F.col("at.key") == F.col("key")) & F.col("at.cut")
+        number = F.row_number().over(Window.partitionBy("source", "epoch", "key").orderBy("id")) - 1
+        start = F.col("at.lowest") + number * F.col("tokens")
+        counted = with_block(placed.filter(cut).withColumn("start", start))
+        blocks = placed.filter(~cut).withColumn("block", F.col("at.block")).select(*kept).union(counted.select(*kept))
+    else:
+        blocks = placed.withColumn("block", F.col("at.block")).select(*kept)
+    mixed = blocks.filter("block IS NOT NULL").select("row", "block", order_key(seed))
+    mixed = mixed.withColumn("slice", F.substring("order_key", 1, 2))
     return mixed.repartition("block", "slice").sortWithinPartitions("block", "order_key").select("row.*")
 
 
