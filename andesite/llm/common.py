@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Words are runs without the ASCII blanks that bytes.split() splits at: 0x20 and 0x09 to 0x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -17,6 +17,8 @@ LOWER_ASCII = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SLICE_CHARS = 4_000_000
 # Words a worker remembers before it forgets them all; it bounds memory and changes no result.
 MEMORY_WORDS = 300_000
+# Bits of a filter of hashed keys, and of a row of it, which bitmap_construct_agg fixes.
+KEY_BITS, KEY_ROW = 1 << 25, 1 << 15
 
 _own_folder: list[str] = []
 
@@ -52,6 +54,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _key_place(key: list[Column]) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(KEY_BITS))
+
+
+def key_filter(keys: DataFrame) -> DataFrame:
+    """(row, bits): a bit for each row of ``keys``, at its hash; at most 4 MB, whatever the number of keys."""
+    place = keys.select(_key_place([F.col(c) for c in keys.columns]).alias("place"))
+    return stage(place.groupBy(F.expr(f"place div {KEY_ROW}").alias("row")).agg(
+        F.bitmap_construct_agg(F.col("place") % KEY_ROW).alias("bits")), "filter")
+
+
+def split_by_filter(rows: DataFrame, key: list[Column], bits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be in the filter, a few others among them, and those whose key is not.
+
+    No row is shuffled: the filter is broadcast.  ``key`` has the types of the keys that made it.
+    """
+    place = _key_place(key)
+    within = F.pmod(place, F.lit(KEY_ROW)).cast("int")
+    byte = F.substring(bits["bits"], F.floor(within / 8).cast("int") + 1, F.lit(1))
+    bit = F.pmod(F.floor(F.conv(F.hex(byte), 16, 10).cast("int") / F.pow(F.lit(2), within % 8)), F.lit(2))
+    found = F.coalesce(bit == 1, F.lit(False))
+    joined = rows.join(F.broadcast(bits), F.floor(place / KEY_ROW) == bits["row"], "left")
+    own = [rows[f"`{c}`"] for c in rows.columns]
+    return joined.filter(found).select(*own), joined.filter(~found).select(*own)
+
+
 def slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Index ranges of at least one text each that hold about ``limit`` characters at most."""
     start = size = 0

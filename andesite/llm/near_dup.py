@@ -26,8 +26,9 @@ given), and the groups are the connected components of the links.
 6. The components of all links are final.
 
 Nothing is capped: a key with more than ``BLOCK`` members is compared in pairs of blocks, each a group
-of its own.  Full sets and sketches are made once, for the classes that share a key.  Data goes to
-the shared folder between the steps.
+of its own.  Full sets and sketches are made once, for the classes that share a key.  Texts are joined
+with ids only behind a filter of hashed ids of fixed size, so those that share no key are not shuffled.
+Data goes to the shared folder between the steps.
 
 Null and empty texts have empty sets, n_shingles 0, are linked with nothing, and are kept.  A null
 doc_id is linked with nothing, has a null component and is kept.  Repeated rows get a row each, with
@@ -45,7 +46,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from andesite.llm.common import WordHashes, byte_words, mix, slices, stage, window_hashes
+from andesite.llm.common import (
+    WordHashes, byte_words, key_filter, mix, slices, split_by_filter, stage, window_hashes,
+)
 
 WORDS = 5
 PERCENT = 85
@@ -275,6 +278,11 @@ def all_pairs(rows: pa.Table, limits: Layout) -> pa.Table:
     return group.pairs(found)
 
 
+def text_key(docs: DataFrame) -> list[Column]:
+    """doc_id and mark of the documents, in the types of the fingerprints."""
+    return [docs["doc_id"].cast("bigint"), F.xxhash64(docs["text"])]
+
+
 def repeats_of(rows: DataFrame) -> DataFrame:
     """(doc_id, mark) that several rows have."""
     return rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "mark")
@@ -299,13 +307,14 @@ def candidate_sets(keyed: DataFrame, prints: DataFrame, docs: DataFrame, words:
                 ], ["class", "members", "sketch"])
 
     def sets_of(rows: DataFrame) -> DataFrame:
-        texts = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).join(rows, ["doc_id", "mark"])
+        texts = wanted.select("doc_id", "text", F.xxhash64("text").alias("mark")).join(rows, ["doc_id", "mark"])
         return texts.select("class", "text").mapInArrow(run, "class bigint, members binary, sketch binary")
 
     named = prints.filter("doc_id IS NOT NULL").select("doc_id", "mark", F.col("row").alias("class"))
     again = repeats_of(named).withColumn("again", F.lit(True))
     chosen = named.join(keyed.select("class").distinct(), "class", "left_semi").join(again, ["doc_id", "mark"], "left")
     chosen = stage(chosen, "chosen")
+    wanted, _ = split_by_filter(docs.select("doc_id", "text"), text_key(docs), key_filter(chosen.select("doc_id", "mark")))
     once, repeated = (chosen.filter(f).drop("again") for f in ("again IS NULL", "again"))
     return sets_of(once).union(sets_of(repeated).dropDuplicates(["class"]))
 
@@ -418,11 +427,14 @@ def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     gone = stage(others.union(repeated.select("doc_id", "mark")).distinct(), "gone")
     once_again = stage(stays.join(repeated, ["doc_id", "mark"], "left_semi"), "repeated")
 
+    # What is gone or repeated is in the filter, so all other documents stay without a shuffle.
+    perhaps, stay = split_by_filter(docs, text_key(docs), key_filter(gone))
+
     def same(side: DataFrame) -> Column:
-        return (docs["doc_id"] == side["doc_id"]) & (F.xxhash64(docs["text"]) == side["mark"])
+        return (perhaps["doc_id"] == side["doc_id"]) & (F.xxhash64(perhaps["text"]) == side["mark"])
 
-    kept = docs.join(gone, same(gone), "left_anti")
-    return kept.union(docs.join(once_again, same(once_again), "left_semi").dropDuplicates(["doc_id", "text"]))
+    kept = stay.union(perhaps.join(gone, same(gone), "left_anti"))
+    return kept.union(perhaps.join(once_again, same(once_again), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 # All pairs that share a member, and the transitive closure of the links; for small tables.
