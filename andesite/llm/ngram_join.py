@@ -19,11 +19,13 @@ their sets have a Jaccard similarity of at least ``percent`` per cent.
    of their hashed ids, so no text is ever shuffled.  The pairs are confirmed by exact intersection of
    the sorted sets, and links join components.  ``ROUNDS`` more rounds do the same for partners of another
    component.  This changes no result: it leaves fewer tiles for step 6.
-6. In tiles that still hold several components all pairs of different components are compared by their
-   bitmaps, and those that pass are confirmed.  Pairs within a component are not needed for the result.
+6. In tiles that still hold several components, members of different components that pass by their bitmaps
+   are chained, and each chain is sent once, with the sets of its members.  Within it all pairs of different
+   components are compared, by bitmaps and then exactly, until a confirmed pair joins them.  What leaves a task
+   is a row for each member of a chain and for each component joined; pairs do not.
 
 Nothing is capped: a tile with more than ``BLOCK`` members is compared in pairs of blocks, each a group of
-its own.
+its own.  Where sets are sent, a block also has at most about ``BLOCK_SETS`` members of sets.
 
 Null and empty texts have empty sets and are linked with nothing.  Rows that repeat a doc_id are one
 document: what links to any of its texts is reachable through it.  Every row has a result, with the
@@ -35,6 +37,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +55,8 @@ NARROWEST, WIDEST = 256, 8192
 # Bits of the filter that chooses documents for the third pass, and bits of a row of it.
 FILTER_BITS, FILTER_ROW = 1 << 24, 1 << 15
 BLOCK = 2048
+# Members of all sets of a block, where sets are sent.
+BLOCK_SETS = 1 << 21
 ROUNDS = 1
 # Pairs compared at once.
 STRIP = 1 << 18
@@ -259,19 +264,20 @@ def labelled(keyed: DataFrame, labels: DataFrame) -> DataFrame:
     return keyed.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 
-def tile_members(members: DataFrame) -> DataFrame:
+def tile_members(members: DataFrame, blocks: Column | None = None) -> DataFrame:
     """Members of the tiles that hold several components, once for each pair of blocks they are in.
 
     A tile is a key and a band; members of the band are its upper ones, those of the band below its lower.
+    ``blocks`` is the number of blocks of a tile, as an aggregate.
     """
+    blocks = F.ceil(F.count("*") / BLOCK) if blocks is None else blocks
     upper = members.withColumns({"tile": F.col("band"), "upper": F.lit(True)})
     lower = members.withColumns({"tile": F.col("band") + 1, "upper": F.lit(False)})
     placed = upper.unionByName(lower)
     tiles = placed.groupBy("key", "tile").agg(
-        F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("members"),
+        F.min("label").alias("least"), F.max("label").alias("most"), blocks.alias("blocks"),
         F.count_if("upper").alias("uppers"), F.min("class").alias("lead"))
-    mixed = tiles.filter("least < most AND uppers > 0").select(
-        "key", "tile", "lead", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    mixed = tiles.filter("least < most AND uppers > 0").select("key", "tile", "lead", "blocks")
     # A member of block i is in the groups (i, j) and (j, i) of its tile.
     return (
         placed.join(mixed, ["key", "tile"]).withColumn("own", F.pmod(F.xxhash64("class"), "blocks"))
@@ -287,12 +293,16 @@ TILE = [*PLACE, "key", "tile"]
 
 
 class Tiles:
-    """Members of some tiles, those of a tile one after the other."""
+    """Members of some tiles, those of a tile one after the other.
+
+    Pairs of the same label or of the same chain are left out; both may be joined while pairs are read.
+    """
 
     def __init__(self, rows: pa.Table):
         self.rows = rows
         column = lambda c: rows.column(c).to_numpy()
         self.ids, self.labels, self.own, self.n = map(column, ("class", "label", "own", "n"))
+        self.chains = self.ids
         self.upper = column("upper").astype(bool)
         keys = [column(c) for c in TILE]
         starts = np.ones(len(self.ids), bool)
@@ -300,7 +310,16 @@ class Tiles:
         self.starts = np.flatnonzero(starts)
         self.within = keys[1] == keys[2]
         self.place = np.stack(keys[:3])
-        self.maps = rows.column("bitmap").to_pylist()
+
+    @cached_property
+    def sets(self) -> list[np.ndarray]:
+        return [np.frombuffer(s, np.uint64) for s in self.rows.column("members").to_pylist()]
+
+    @cached_property
+    def maps(self) -> list[bytes]:
+        if "bitmap" in self.rows.column_names:
+            return self.rows.column("bitmap").to_pylist()
+        return [bitmap(s) for s in self.sets]
 
     def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Rows x < y of a tile that may be similar, in strips."""
@@ -315,7 +334,7 @@ class Tiles:
             y = x + 1 + np.arange(len(x)) - (np.repeat(upto[begin:end] - behind[begin:end], behind[begin:end]) - before)
             begin = end
             small, large = np.minimum(self.n[x], self.n[y]), np.maximum(self.n[x], self.n[y])
-            keep = ((self.labels[x] != self.labels[y]) & (self.upper[x] | self.upper[y])
+            keep = ((self.labels[x] != self.labels[y]) & (self.chains[x] != self.chains[y]) & (self.upper[x] | self.upper[y])
                     & (self.within[x] | (self.own[x] != self.own[y])) & (100 * small >= percent * large))
             x, y = x[keep], y[keep]
             if len(x):
@@ -372,21 +391,80 @@ def whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[Tiles]:
         yield Tiles(held)
 
 
-def placed_tiles(members: DataFrame, maps: DataFrame) -> DataFrame:
-    rows = tile_members(members).join(maps, "class")
+def placed_tiles(members: DataFrame, data: DataFrame, blocks: Column | None = None) -> DataFrame:
+    """Rows of tiles with what ``data`` has of their classes."""
+    rows = tile_members(members, blocks).join(data, "class")
     return rows.repartition(*PLACE).sortWithinPartitions(*TILE)
 
 
-def all_pairs(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of members of different components that may be similar."""
+def joined_labels(labels: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Labels after those of rows x and y have been joined: the smallest of all that hang together."""
+    names, codes = np.unique(labels, return_inverse=True)
+    root = np.arange(len(names))
+    a, b = codes[x], codes[y]
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low < high
+        if not apart.any():
+            return names[root[codes]]
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def chains(members: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """(key, class): chains of members of different components that may be similar, each under a hash of all its members.
+
+    Two members that may be similar are in a chain of the same key at least once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tiles in whole_tiles(batches):
+            for x, y in tiles.pairs(percent):
+                tiles.chains = joined_labels(tiles.chains, x, y)
+            ids, rows = np.unique(tiles.ids, return_index=True)
+            _, chain, size = np.unique(tiles.chains[rows], return_inverse=True, return_counts=True)
+            names = np.zeros(len(size), np.uint64)
+            np.add.at(names, chain, mix(ids.view(np.uint64)))
+            chained = size[chain] > 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names.view(np.int64)[chain][chained]), pa.array(ids[chained])], ["key", "class"])
+
+    return placed_tiles(members, maps).mapInArrow(run, "key bigint, class bigint").distinct()
+
+
+def similar(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of other sorted sets share enough members with one."""
+    sizes = np.array([len(s) for s in others])
+    every = np.concatenate(others)
+    places = np.minimum(np.searchsorted(own, every), len(own) - 1)
+    shared = np.add.reduceat((own[places] == every).astype(np.int64), np.cumsum(sizes) - sizes)
+    return fit(len(own), sizes, shared, percent)
+
+
+def joins(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): labels of components that a pair of similar sets joins, at most one row for each label of a tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tiles in whole_tiles(batches):
-            found = [np.unique(np.sort([tiles.ids[x], tiles.ids[y]], axis=0), axis=1) for x, y in tiles.pairs(percent)]
-            a, b = np.unique(np.concatenate([np.empty((2, 0), np.int64), *found], axis=1), axis=1)
+            before, labels = tiles.labels, tiles.labels.copy()
+            tiles.labels = labels
+            for x, y in tiles.pairs(percent):
+                rows, starts = np.unique(x, return_index=True)
+                for row, others in zip(rows, np.split(y, starts[1:])):
+                    others = others[labels[others] != labels[row]]
+                    if len(others):
+                        others = others[similar(tiles.sets[row], [tiles.sets[o] for o in others], percent)]
+                        one = np.unique(labels[np.append(others, row)])
+                        if len(one) > 1:
+                            labels[np.isin(labels, one)] = one[0]
+            changed = before != labels
+            a, b = np.unique(np.stack([labels[changed], before[changed]]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return placed_tiles(members, maps).mapInArrow(run, "a bigint, b bigint").distinct()
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SETS))
+    return placed_tiles(members, sets, blocks).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def classes_of(prints: DataFrame) -> DataFrame:
@@ -418,7 +496,7 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS
     first = stage(partners(alone, maps, percent), "pairs")
     paired = first.select(F.col("a").alias("class")).union(first.select("b")).distinct()
     wanted = stage(rep.join(paired, "class", "left_semi"), "wanted")
-    full = stage(sets_of(docs, id_filter(wanted), words).join(wanted, on).select("class", "members"), "sets")
+    full = stage(sets_of(docs, id_filter(wanted), words).join(wanted, on).select("class", "n", "members"), "sets")
 
     # A document with several texts joins their classes.
     texts = prints.filter("doc_id IS NOT NULL AND n > 0").select(*on).join(classes.drop("least"), PRINT)
@@ -431,8 +509,10 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, words: int = WORDS
     for _ in range(ROUNDS):
         more = partners(labelled(plausible, components(links)), maps, percent)
         links = links.union(stage(confirmed(more, full, percent), "links"))
-    rest = all_pairs(labelled(plausible, components(links)), maps, percent)
-    links = links.union(stage(confirmed(rest, full, percent), "links"))
+    labels = components(links)
+    chained = stage(chains(labelled(plausible, labels), maps, percent), "chains")
+    sized = chained.join(wanted.select("class", "n", band("n", percent).alias("band")), "class")
+    links = links.union(stage(joins(labelled(sized, labels), full, percent), "links"))
 
     named = labelled(classes, components(links))
     lowest = named.groupBy("label").agg(F.min("least").alias("component_id"))

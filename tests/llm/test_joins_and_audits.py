@@ -217,6 +217,60 @@ def test_chains_and_templates_in_large_tiles(spark, monkeypatch, block, percents
         assert len({r[2] for r in want.values()}) < len(texts)
 
 
+@pytest.mark.parametrize("sets", [1 << 21, 1000])
+def test_near_copies_under_the_threshold_are_not_handed_on_in_pairs(spark, monkeypatch, sets):
+    """A family whose members pass by their bitmaps and are no links: rows handed on do not grow with its square."""
+    rng = np.random.default_rng(5)
+    words = [f"t{i}" for i in range(600)]
+    texts = {}
+    for i in range(40):  # eight inner words cost 40 of 596 runs: most pairs share 516 of 676
+        own = list(words)
+        for at in rng.choice(np.arange(5, 595, 5), 8, replace=False):
+            own[at] = f"y{i}-{at}"
+        texts[i] = " ".join(own)
+    texts |= {100 + i: f"{texts[2 * i]} more" for i in range(10)}
+    handed = []
+
+    def counted(name):
+        operator = getattr(ngram_join, name)
+
+        def run(rows, *others):
+            handed.append(rows.count())
+            return operator(rows, *others)
+
+        monkeypatch.setattr(ngram_join, name, run)
+
+    counted("confirmed")
+    if hasattr(ngram_join, "joins"):
+        counted("joins")
+        monkeypatch.setattr(ngram_join, "BLOCK_SETS", sets)
+    got = joined(ngram_join.ngram_components(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")))
+    assert got == {d: r[:3] for d, r in plain_groups(texts, 80).items()}
+    assert len({r[2] for r in got.values()}) > 10 and len(handed) > ngram_join.ROUNDS
+    assert max(handed) <= 2 * len(texts)
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=20), st.data())
+def test_joined_labels_are_the_smallest_that_hang_together(labels, data):
+    row = st.integers(0, len(labels) - 1)
+    pairs = data.draw(st.lists(st.tuples(row, row), max_size=12))
+    want = list(labels)
+    for x, y in pairs:
+        low, high = sorted((want[x], want[y]))
+        want = [low if label == high else label for label in want]
+    x, y = (np.array([p[side] for p in pairs], np.int64) for side in (0, 1))
+    assert ngram_join.joined_labels(np.array(labels), x, y).tolist() == want
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.sets(st.integers(0, 40), min_size=1), min_size=2, max_size=8), st.integers(1, 100))
+def test_similar_sets_share_enough_members(sets, percent):
+    own, *others = (np.array(sorted(s), np.uint64) for s in sets)
+    want = [100 * len(sets[0] & s) >= percent * len(sets[0] | s) for s in sets[1:]]
+    assert ngram_join.similar(own, others, percent).tolist() == want
+
+
 def test_ngram_join_of_awkward_rows(spark, awkward, nothing):  # noqa: F811
     rows = ngram_join.ngram_components(awkward).collect()
     assert len(rows) == awkward.count()
