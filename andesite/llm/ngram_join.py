@@ -58,8 +58,9 @@ BLOCK = 2048
 # Members of all sets of a block, where sets are sent.
 BLOCK_SETS = 1 << 21
 ROUNDS = 1
-# Pairs compared at once.
+# Pairs compared at once, and bytes of bitmaps on each side of them.
 STRIP = 1 << 18
+MAP_BYTES = 1 << 25
 
 PRINT = ["n", "print1", "print2"]
 KEYS = T.StructType([
@@ -231,13 +232,16 @@ def passing(n: np.ndarray, maps: list[bytes], x: np.ndarray, y: np.ndarray, perc
     widths = np.fromiter(map(len, maps), np.int64, len(maps))
     narrow = np.minimum(widths[x], widths[y])
     out = np.zeros(len(x), bool)
-    for width in np.unique(narrow):
-        pairs = np.flatnonzero(narrow == width)
-        rows, place = np.unique(np.concatenate([x[pairs], y[pairs]]), return_inverse=True)
-        folded = np.stack([fold(maps[r], int(width)) for r in rows])
-        left, right = folded[place[: len(pairs)]], folded[place[len(pairs) :]]
-        most = overlap_bound(left, n[x[pairs]], right, n[y[pairs]])
-        out[pairs] = fit(n[x[pairs]], n[y[pairs]], most, percent)
+    for width in np.unique(narrow).tolist():
+        same = np.flatnonzero(narrow == width)
+        at_once = max(1, MAP_BYTES // width)
+        for begin in range(0, len(same), at_once):
+            pairs = same[begin : begin + at_once]
+            rows, place = np.unique(np.concatenate([x[pairs], y[pairs]]), return_inverse=True)
+            folded = np.stack([fold(maps[r], width) for r in rows])
+            left, right = folded[place[: len(pairs)]], folded[place[len(pairs) :]]
+            most = overlap_bound(left, n[x[pairs]], right, n[y[pairs]])
+            out[pairs] = fit(n[x[pairs]], n[y[pairs]], most, percent)
     return out
 
 
@@ -313,7 +317,7 @@ class Tiles:
 
     @cached_property
     def sets(self) -> list[np.ndarray]:
-        return [np.frombuffer(s, np.uint64) for s in self.rows.column("members").to_pylist()]
+        return [np.frombuffer(s.as_buffer(), np.uint64) for s in self.rows.column("members")]
 
     @cached_property
     def maps(self) -> list[bytes]:

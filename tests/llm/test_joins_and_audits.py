@@ -306,6 +306,16 @@ def test_bitmaps_bound_the_overlap_from_above(common, a, b):
     assert not similar or ngram_join.passing(n, maps, first, second, 80).all()
 
 
+def test_bitmaps_compared_at_once_change_no_result(monkeypatch):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.choice(rng.integers(0, 2**63, 1500, dtype=np.uint64), size)) for size in rng.integers(100, 1400, 30)]
+    n, maps = np.array([len(s) for s in sets]), [ngram_join.bitmap(s) for s in sets]
+    x, y = np.triu_indices(len(sets), 1)
+    want = ngram_join.passing(n, maps, x, y, 30)
+    monkeypatch.setattr(ngram_join, "MAP_BYTES", 3000)
+    assert (ngram_join.passing(n, maps, x, y, 30) == want).all() and len(set(map(len, maps))) > 2
+
+
 @settings(deadline=None, max_examples=100)
 @given(st.lists(st.integers(1, 9), min_size=1, max_size=12), st.integers(1, 30))
 def test_strips_hold_every_pair_of_a_tile_once(sizes, strip):
